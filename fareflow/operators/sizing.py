@@ -1,0 +1,13 @@
+"""Size checks that come before a broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A few short columns of this many rows stay far below the memory of one executor.
+BROADCAST_ROWS = 200_000
+
+
+def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """True if ``side`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
+    return side.limit(max_rows + 1).count() <= max_rows
