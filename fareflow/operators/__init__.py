@@ -1,6 +1,7 @@
 from .copies import copy_order, first_copies, later_copies, stream_first_copies, unseen
 from .lookup import enrich_zone, zone_lookup
 from .rules import count_violations, expect_or_drop, observe_rules
+from .sizing import fits_broadcast, spread
 
 __all__ = [
     "copy_order",
@@ -8,8 +9,10 @@ __all__ = [
     "enrich_zone",
     "expect_or_drop",
     "first_copies",
+    "fits_broadcast",
     "later_copies",
     "observe_rules",
+    "spread",
     "stream_first_copies",
     "unseen",
     "zone_lookup",

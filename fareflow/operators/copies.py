@@ -14,7 +14,9 @@ one task:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +44,16 @@ def first_copies(rows: DataFrame, key: str = KEY, order: list[str] | None = None
     )
 
 
-def later_copies(rows: DataFrame, key: str = KEY, order: list[str] | None = None) -> DataFrame:
-    """All rows with a non-null key but the first copy of each key."""
+def later_copies(
+    rows: DataFrame,
+    key: str = KEY,
+    order: list[str] | None = None,
+    computed: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """All rows with a non-null key but the first copy of each key.
+
+    ``order`` may name ``computed`` columns, which are worked out only for keys that repeat.
+    """
     order = order or copy_order(rows, key)
     # Only ids that repeat need ranking. The count moves nothing but ids, added up per split first,
     # and the semi-join keeps ids that occur once out of both window shuffles.
@@ -52,7 +62,7 @@ def later_copies(rows: DataFrame, key: str = KEY, order: list[str] | None = None
     # The split number of a row is the same when a lost task runs again.
     split = known.withColumn("_split", F.spark_partition_id()).join(repeated, key, "left_semi")
     in_split = Window.partitionBy(key, "_split").orderBy(*order)
-    ranked = split.withColumn("_local", F.row_number().over(in_split))
+    ranked = split.withColumns(dict(computed or {})).withColumn("_local", F.row_number().over(in_split))
     # Best copies of all splits form one group per key; the others stay in the group of their split.
     group = F.when(F.col("_local") > 1, F.col("_split")).otherwise(F.lit(-1))
     of_best = Window.partitionBy(key, "_group").orderBy(*order)

@@ -14,26 +14,36 @@ from pyspark.sql import functions as F
 from ..schema import RULES
 
 
-def _violations(rules: Mapping[str, str]) -> dict[str, Column]:
-    return {name: F.count_if(~F.expr(rule)) for name, rule in rules.items()}
-
-
-def expect_or_drop(rows: DataFrame, rules: Mapping[str, str] = RULES, on_null: str = "keep") -> DataFrame:
-    """Keep rows that meet all rules; ``on_null`` is "keep" or "drop" for rules without an answer."""
-    if on_null not in ("keep", "drop"):
-        raise ValueError(f"on_null is 'keep' or 'drop', not {on_null!r}")
-    for rule in rules.values():
-        rows = rows.filter(F.coalesce(F.expr(rule), F.lit(on_null == "keep")))
-    return rows
+def _counts(rules: Mapping[str, str]) -> list[Column]:
+    broken = [F.count_if(~F.expr(rule)).alias(f"{name}_violations") for name, rule in rules.items()]
+    return [F.count(F.lit(1)).alias("row_count"), *broken]
 
 
 def count_violations(rows: DataFrame, rules: Mapping[str, str] = RULES) -> DataFrame:
     """One row: how many rows were read, and how many break each rule."""
-    counts = [count.alias(f"{name}_violations") for name, count in _violations(rules).items()]
-    return rows.agg(F.count(F.lit(1)).alias("row_count"), *counts)
+    return rows.agg(*_counts(rules))
 
 
 def observe_rules(rows: DataFrame, observed: Observation | str, rules: Mapping[str, str] = RULES) -> DataFrame:
     """Warn only: pass all rows on and count violations on the way, in batch or in a stream."""
-    counts = [count.alias(f"{name}_violations") for name, count in _violations(rules).items()]
-    return rows.observe(observed, F.count(F.lit(1)).alias("row_count"), *counts)
+    return rows.observe(observed, *_counts(rules))
+
+
+def expect_or_drop(
+    rows: DataFrame,
+    rules: Mapping[str, str] = RULES,
+    on_null: str = "keep",
+    observed: Observation | str | None = None,
+) -> DataFrame:
+    """Keep rows that meet all rules; ``on_null`` is "keep" or "drop" for rules without an answer.
+
+    With ``observed``, violations are counted on the way. Spark then also evaluates the columns
+    that the rules read just once, as it does not move a filter below a count of its input.
+    """
+    if on_null not in ("keep", "drop"):
+        raise ValueError(f"on_null is 'keep' or 'drop', not {on_null!r}")
+    if observed is not None:
+        rows = observe_rules(rows, observed, rules)
+    for rule in rules.values():
+        rows = rows.filter(F.coalesce(F.expr(rule), F.lit(on_null == "keep")))
+    return rows

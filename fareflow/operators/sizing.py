@@ -1,4 +1,4 @@
-"""Size checks that come before a broadcast."""
+"""Decisions that depend on the size of the input."""
 
 from __future__ import annotations
 
@@ -11,3 +11,12 @@ BROADCAST_ROWS = 200_000
 def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True if ``side`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
     return side.limit(max_rows + 1).count() <= max_rows
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out to all cores if the input has fewer splits than there are cores.
+
+    A small or unsplittable file would leave most cores idle. Large inputs pass as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import revenue_fields, sanitize_numeric, trip_metrics, trip_times
-from ..operators import count_violations, enrich_zone, expect_or_drop, first_copies, stream_first_copies
+from ..operators import count_violations, enrich_zone, expect_or_drop, first_copies, spread, stream_first_copies
 from ..schema import RAW, SANITIZED
 from ..session import shared_folder, use_utc
 from ..sources import Layers, csv_schema, raw_trips, stream_table, stream_trips
-from ..streaming import bronze_stage, error_stage, gold_stage, run_layers, silver_stage
+from ..streaming import bronze_stage, error_stage, finish, gold_stage, run_layers, silver_stage
 from . import errors, gold
 from .logs import append_layer_counts, pipeline_log, tracked_run
 from .silver import derive, prepare, silver_trips
@@ -31,7 +31,7 @@ def _lineitem(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
-    return raw_trips(_lineitem(spark, folder))
+    return raw_trips(spread(_lineitem(spark, folder)))
 
 
 def _raw_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,7 +67,7 @@ def bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
     layers = _layers(spark)
     landing = f"{layers.root}/landing"
     _raw(spark, folder).select(*RAW.names).write.option("header", True).csv(landing)
-    bronze_stage(layers, stream_trips(spark, landing, csv_schema(spark, landing)))
+    finish(bronze_stage(layers, stream_trips(spark, landing, csv_schema(spark, landing))))
     stored = layers.read("bronze_trips")
     money = {name: F.col(name).try_cast("double") for name in ("fare_amount", "tip_amount", "total_amount")}
     stored = stored.withColumns(money | {"from_csv": F.col("source_file").endswith(".csv")})
@@ -94,11 +94,11 @@ def _measured(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def expect_drop(spark: SparkSession, folder: str) -> DataFrame:
-    return expect_or_drop(_measured(spark, folder))
+    return expect_or_drop(_measured(spark, folder), observed="expect_drop")
 
 
 def expect_drop_null(spark: SparkSession, folder: str) -> DataFrame:
-    return expect_or_drop(_measured(spark, folder), on_null="drop")
+    return expect_or_drop(_measured(spark, folder), on_null="drop", observed="expect_drop_null")
 
 
 def expect_warn(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,14 +171,14 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
 def _streamed(spark: SparkSession, folder: str) -> Layers:
     """The raw and the cleaned layer, filled by streams."""
     layers = _layers(spark)
-    bronze_stage(layers, _raw_stream(spark, folder))
-    silver_stage(layers)
+    finish(bronze_stage(layers, _raw_stream(spark, folder)))
+    finish(silver_stage(layers))
     return layers
 
 
 def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     layers = _layers(spark)
-    bronze_stage(layers, _raw_stream(spark, folder))
+    finish(bronze_stage(layers, _raw_stream(spark, folder)))
     return _comparable(layers.read("bronze_trips"))
 
 
@@ -188,15 +188,15 @@ def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_error_log(spark: SparkSession, folder: str) -> DataFrame:
     layers = _layers(spark)
-    bronze_stage(layers, _raw_stream(spark, folder))
-    error_stage(layers)
+    finish(bronze_stage(layers, _raw_stream(spark, folder)))
+    finish(error_stage(layers))
     return _unpacked(layers.read("error_log"))
 
 
 def _stream_gold(table: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         layers = _streamed(spark, folder)
-        gold_stage(layers, table)
+        finish(gold_stage(layers, table))
         return _rounded(layers.read(table))
 
     return query
@@ -207,7 +207,7 @@ def _stream_dedup(policy: str) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         layers = _layers(spark)
-        bronze_stage(layers, stream_first_copies(_raw_stream(spark, folder), policy=policy))
+        finish(bronze_stage(layers, stream_first_copies(_raw_stream(spark, folder), policy=policy)))
         return layers.read("bronze_trips").select("trip_id")
 
     return query

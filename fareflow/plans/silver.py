@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import local_now, revenue_fields, sanitize_numeric, trip_metrics, trip_times
@@ -27,6 +27,7 @@ def silver_trips(
     lookup: DataFrame | None = None,
     rules: Mapping[str, str] = RULES,
     on_null: str = "keep",
+    observed: Observation | str | None = None,
 ) -> DataFrame:
     """The cleaned layer. Rules apply after de-duplication, so a bad first copy hides later ones."""
-    return expect_or_drop(derive(first_copies(prepare(bronze)), lookup), rules, on_null)
+    return expect_or_drop(derive(first_copies(prepare(bronze)), lookup), rules, on_null, observed)

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import expect_or_drop, first_copies, unseen
 from ..plans.silver import derive, prepare
@@ -34,36 +34,33 @@ def silver_stage(
     rules: Mapping[str, str] = RULES,
     on_null: str = "keep",
     **options: str | int,
-) -> None:
-    """Bring the cleaned layer up to date with the raw layer; ``options`` pace the stream."""
+) -> StreamingQuery:
+    """Start bringing the cleaned layer up to date with the raw layer; ``options`` pace the stream."""
     trips = prepare(layers.stream("bronze_trips", **options))
     seen_ids = layers.create("seen_ids")
     silver = layers.create("silver_trips", derive(trips, lookup).schema)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        in_batch = F.col("batch_id") == batch_id
-        first = first_copies(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        first = fresh = first_copies(batch).persist()
+        earlier = session.table(seen_ids).filter(F.col("batch_id") < batch_id)
+        if not earlier.isEmpty():
+            fresh = unseen(first, earlier).persist()
         try:
-            earlier = session.table(seen_ids).filter(F.col("batch_id") < batch_id)
-            fresh = unseen(first, earlier).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                _store_batch(fresh.select(KEY), seen_ids, batch_id)
-                cleaned = expect_or_drop(derive(fresh, lookup), rules, on_null)
-                # After a crash the rows may be there already. Files that are whole stay as they
-                # are: rewritten under new names, the aggregates would count them again.
-                stored = session.table(silver).filter(in_batch).count()
-                if stored == 0 or stored != cleaned.count():
-                    _store_batch(cleaned, silver, batch_id)
-            finally:
-                fresh.unpersist()
+            _store_batch(fresh.select(KEY), seen_ids, batch_id)
+            cleaned = expect_or_drop(derive(fresh, lookup), rules, on_null)
+            # After a crash the rows may be there already. Files that are whole stay as they are:
+            # rewritten under new names, the aggregates would count them again.
+            stored = session.table(silver).filter(F.col("batch_id") == batch_id).count()
+            if stored == 0 or stored != cleaned.count():
+                _store_batch(cleaned, silver, batch_id)
         finally:
+            fresh.unpersist()
             first.unpersist()
 
-    query = (
+    return (
         trips.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", layers.checkpoint("silver_trips"))
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()

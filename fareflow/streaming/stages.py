@@ -1,6 +1,7 @@
 """Stages: each one reads a stream, changes it and fills one table, with a checkpoint of its own.
 
-A stage takes in all that has arrived and ends. Stages meet only at stored tables, so that each
+A stage function starts a query that takes in all that has arrived and ends; ``finish`` waits for
+it. Stages that do not feed each other can run side by side. Stages meet only at stored tables, so that each
 query has at most one watermark.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import errors, gold
 from ..plans.logs import pipeline_log
@@ -17,27 +19,36 @@ from ..sources.layers import replace_rows
 from .exact import silver_stage
 
 
-def append_stage(rows: DataFrame, layers: Layers, table: str) -> None:
+def finish(*queries: StreamingQuery) -> None:
+    """Wait for running stages. If one fails, the others are stopped and its error is raised."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def append_stage(rows: DataFrame, layers: Layers, table: str) -> StreamingQuery:
     """Append a stream to a table, exactly once across restarts."""
     name = layers.create(table, rows.schema)
-    query = (
+    return (
         without_metadata(rows)
         .writeStream.outputMode("append")
         .option("checkpointLocation", layers.checkpoint(table))
         .trigger(availableNow=True)
         .toTable(name)
     )
-    query.awaitTermination()
 
 
-def bronze_stage(layers: Layers, trips: DataFrame) -> None:
+def bronze_stage(layers: Layers, trips: DataFrame) -> StreamingQuery:
     """Raw trips as they arrive."""
-    append_stage(trips, layers, "bronze_trips")
+    return append_stage(trips, layers, "bronze_trips")
 
 
-def error_stage(layers: Layers, **options: str | int) -> None:
+def error_stage(layers: Layers, **options: str | int) -> StreamingQuery:
     """Log of invalid rows and rows without an id, next to the cleaned layer and from the same table."""
-    append_stage(errors.error_log(layers.stream("bronze_trips", **options)), layers, "error_log")
+    return append_stage(errors.error_log(layers.stream("bronze_trips", **options)), layers, "error_log")
 
 
 # Aggregate tables and how each is computed, for streams and for batches.
@@ -48,7 +59,7 @@ GOLD: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def gold_stage(layers: Layers, table: str, **options: str | int) -> None:
+def gold_stage(layers: Layers, table: str, **options: str | int) -> StreamingQuery:
     """Keep an aggregate over the cleaned layer and rewrite its table with every batch.
 
     There is no watermark, so groups stay open for good and the complete result is written. It is
@@ -59,7 +70,7 @@ def gold_stage(layers: Layers, table: str, **options: str | int) -> None:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         replace_rows(batch, name)
 
-    query = (
+    return (
         GOLD[table](layers.stream("silver_trips", **options))
         .writeStream.outputMode("complete")
         .foreachBatch(write_batch)
@@ -67,18 +78,18 @@ def gold_stage(layers: Layers, table: str, **options: str | int) -> None:
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
 
 
 def run_layers(layers: Layers, trips: DataFrame, lookup: DataFrame | None = None, on_null: str = "keep") -> None:
     """Bring all tables up to date with the raw stream ``trips``."""
-    bronze_stage(layers, trips)
-    silver_stage(layers, lookup=lookup, on_null=on_null)
-    error_stage(layers)
-    for table in GOLD:
-        gold_stage(layers, table)
-    layers.create("duplicate_log")
-    layers.overwrite(errors.duplicate_log(layers.read("bronze_trips")), "duplicate_log")
+    finish(bronze_stage(layers, trips))
+    finish(silver_stage(layers, lookup=lookup, on_null=on_null), error_stage(layers))
+    aggregates = [gold_stage(layers, table) for table in GOLD]
+    try:
+        layers.create("duplicate_log")
+        layers.overwrite(errors.duplicate_log(layers.read("bronze_trips")), "duplicate_log")
+    finally:
+        finish(*aggregates)
     layers.create("pipeline_log")
     stored = [layers.read(table) for table in ("silver_trips", "error_log", "duplicate_log")]
     layers.overwrite(pipeline_log(*stored), "pipeline_log")
