@@ -4,6 +4,10 @@ Ids taken in so far are kept in a table rather than in the state store. Per batc
 copies, leave out ids of earlier batches, store the new ids, then store the cleaned rows. Both
 writes replace the partition of their own batch, and ids of the running batch are not looked at,
 so a batch that runs again after a crash gives the same rows.
+
+Over several batches, the first copy is the one taken in first. That is the first by arrival time, as
+raw rows come in by arrival. If options pace the stream so that rows with one arrival time fall into
+different batches, the batch comes before the file name and the other columns that break such ties.
 """
 
 from __future__ import annotations

@@ -1,0 +1,166 @@
+"""Row-level rules of the cleaned layer and the logs, on hand-made trips."""
+
+from datetime import datetime
+
+import pytest
+from golden import frame
+from pyspark.sql import functions as F
+
+from fareflow.functions import run_id, sanitize_numeric, trip_metrics, trip_times
+from fareflow.operators import count_violations, enrich_zone, expect_or_drop, observe_rules, zone_lookup
+from fareflow.plans import errors, gold
+from fareflow.plans.silver import derive, prepare, silver_trips
+
+
+def by_id(rows):
+    return {row.trip_id: row for row in rows.collect()}
+
+
+def test_bad_text_becomes_null(spark):
+    rows = by_id(sanitize_numeric(frame(spark, "junk", "fast")))
+    assert rows["D"].trip_distance is None and rows["D"].passenger_count is None
+    assert rows["B"].passenger_count == 1
+
+
+def test_sanitize_takes_only_columns_that_are_there(spark):
+    rows = spark.createDataFrame([("7", "x")], "fare_amount string, other string")
+    assert sanitize_numeric(rows).dtypes == [("fare_amount", "double"), ("other", "string")]
+
+
+def test_times_are_strict_and_local(spark):
+    rows = by_id(trip_times(frame(spark, "copy_1", "loose_time", "junk")))
+    assert rows["A"].pickup_datetime == datetime(2024, 1, 2, 1, 30)
+    assert rows["I"].pickup_datetime is None and rows["D"].pickup_datetime is None
+
+
+def test_duration_and_speed(spark):
+    rows = by_id(trip_metrics(trip_times(sanitize_numeric(frame(spark)))))
+    assert (rows["A"].trip_duration, rows["A"].speed) == (30.0, 20.0)
+    assert rows["B"].speed == 3000.0
+    assert (rows["C"].trip_duration, rows["C"].speed) == (-30.0, None)
+    assert (rows["D"].trip_duration, rows["D"].speed) == (None, None)
+
+
+def test_revenue(spark):
+    rows = by_id(derive(prepare(frame(spark, "fast", "low_total", "no_total"))))
+    assert (rows["B"].total_amount, rows["B"].revenue_valid) == (12.0, True)
+    assert (rows["G"].total_amount, rows["G"].revenue_valid) == (8.0, False)
+    assert (rows["H"].total_amount, rows["H"].revenue_valid) == (None, False)
+
+
+def test_zones(spark):
+    rows = by_id(enrich_zone(frame(spark, "copy_1", "fast", "no_zone")))
+    assert (rows["A"].zone_name, rows["A"].zone_id) == ("Bronx", "Zone-01")
+    assert rows["B"].zone_id is None and rows["J"].zone_id is None
+
+
+@pytest.mark.parametrize("max_rows", [100, 0])
+def test_given_lookup_is_the_same_with_and_without_broadcast(spark, max_rows):
+    trips = frame(spark)
+    given = enrich_zone(trips, zone_lookup(spark), max_rows=max_rows)
+    assert sorted(map(str, given.collect())) == sorted(map(str, enrich_zone(trips).collect()))
+
+
+def test_lookup_names_have_to_be_unique(spark):
+    twice = zone_lookup(spark).union(zone_lookup(spark))
+    with pytest.raises(ValueError):
+        enrich_zone(frame(spark), twice)
+
+
+def test_silver_keeps_first_copies_that_meet_the_rules(spark):
+    # F: the first copy breaks a rule and hides the second.
+    assert set(by_id(silver_trips(frame(spark)))) == set("ACDGHIJ")
+    assert set(by_id(silver_trips(frame(spark), on_null="drop"))) == set("AGHJ")
+
+
+def test_null_policy_is_checked(spark):
+    with pytest.raises(ValueError):
+        expect_or_drop(frame(spark), on_null="maybe")
+
+
+def test_violations_are_counted(spark):
+    measured = trip_metrics(trip_times(sanitize_numeric(frame(spark))))
+    expected = {"row_count": 13, "valid_speed_violations": 3, "valid_duration_violations": 2}
+    assert count_violations(measured).first().asDict() == expected
+
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    kept = observe_rules(measured, seen)
+    assert kept.count() == 13
+    assert seen.get == expected
+
+    seen = Observation()
+    kept = expect_or_drop(measured, observed=seen)
+    assert kept.count() == 13 - 4
+    assert seen.get == expected
+
+
+def test_error_log_categories(spark):
+    logged = errors.error_log(frame(spark)).collect()
+    found = sorted((row.error_category, row.error_reason, row.trip_id or "-") for row in logged)
+    assert found == [
+        ("ANOMALY", "Missing trip_id", "-"),
+        ("INVALID", "Invalid Duration", "-"),
+        ("INVALID", "Invalid Speed", "B"),
+        ("INVALID", "Invalid Speed", "E"),
+        ("INVALID", "Invalid Speed", "F"),
+    ]
+    anomaly = next(row for row in logged if row.error_category == "ANOMALY")
+    assert anomaly.trip_duration is None and anomaly.speed is None
+    assert anomaly.pickup_datetime == datetime(2024, 1, 1, 5, 30)
+    assert anomaly.row_data.pickup_datetime == "01-01-2024 00:00"
+
+
+def test_error_log_is_the_union_of_both_kinds(spark, data):
+    from fareflow.sources import raw_trips
+
+    raw = raw_trips(spark.read.parquet(f"{data}/lineitem.parquet"))
+    clean = sanitize_numeric(raw)
+    snapshot = F.struct(*clean.columns)
+    timed = trip_times(clean.withColumn("row_data", snapshot))
+    invalid = trip_metrics(timed).filter("speed > 120 OR trip_duration > 180")
+    anomaly = timed.filter("trip_id IS NULL")
+    union = invalid.unionByName(anomaly, allowMissingColumns=True)
+    logged = errors.error_log(raw)
+    assert logged.select(*union.columns).exceptAll(union).isEmpty()
+    assert union.exceptAll(logged.select(*union.columns)).isEmpty()
+
+
+def test_duplicate_log_holds_all_but_the_first(spark):
+    logged = errors.duplicate_log(frame(spark)).collect()
+    assert sorted(row.trip_id for row in logged) == ["A", "F"]
+    later = next(row for row in logged if row.trip_id == "F")
+    assert later.pickup_datetime == "01-01-2024 09:00" and later.row_data.pickup_datetime == "01-01-2024 09:00"
+    assert (later.error_category, later.error_reason) == ("DUPLICATE", "Duplicate trip_id")
+
+
+def test_first_and_later_copies_add_up(spark, data):
+    from fareflow.operators import first_copies
+    from fareflow.sources import raw_trips
+
+    raw = raw_trips(spark.read.parquet(f"{data}/lineitem.parquet"))
+    known = trip_times(sanitize_numeric(raw)).filter("trip_id IS NOT NULL")
+    first = first_copies(prepare(raw))
+    later = trip_times(errors.duplicate_log(raw).select(*raw.columns))
+    both = first.select(*known.columns).unionByName(later.select(*known.columns))
+    assert both.exceptAll(known).isEmpty() and known.exceptAll(both).isEmpty()
+
+
+def test_gold(spark):
+    silver = silver_trips(frame(spark))
+    hours = {row.pickup_hour: row.trips for row in gold.peak_hours(silver).collect()}
+    assert hours == {1: 1, 15: 3, 16: 1, None: 2}
+    text = {row.pickup_hour: row.trips for row in gold.peak_hours_text(silver).collect()}
+    assert text == {"01": 1, "15": 3, "16": 1, None: 2}
+    drivers = {row.driver_id: row for row in gold.driver_performance(silver).collect()}
+    assert (drivers["d5"].avg_fare, drivers["d5"].total_trips) == (8.0, 2)
+    zones = {(row.pickup_zone, row.dropoff_zone): row for row in gold.zone_revenue(silver).collect()}
+    assert zones["Brooklyn", "Bronx"].total_revenue == 8.0 and zones["Brooklyn", "Bronx"].avg_fare == 10.0
+    assert zones["Manhattan", "Bronx"].total_revenue is None and zones["Manhattan", "Bronx"].trip_count == 1
+
+
+def test_run_ids(spark):
+    now = F.to_timestamp(F.lit("2024-01-02 03:04:05.678901"))
+    row = spark.range(1).select(run_id(now=now), run_id("RUN-", now=now), run_id(style="stamp", now=now)).first()
+    assert tuple(row) == ("Run-1704164645", "RUN-1704164645", "Run-20240102_030405_678901")
