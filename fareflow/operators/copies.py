@@ -61,8 +61,11 @@ def later_copies(
     repeated = known.groupBy(key).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1").select(key)
     # The split number of a row is the same when a lost task runs again.
     split = known.withColumn("_split", F.spark_partition_id()).join(repeated, key, "left_semi")
+    # The join leaves rows partitioned by key, which Spark would take for good enough here. Both
+    # windows need their own shuffle to spread a frequent key.
     in_split = Window.partitionBy(key, "_split").orderBy(*order)
-    ranked = split.withColumns(dict(computed or {})).withColumn("_local", F.row_number().over(in_split))
+    spread = split.repartition(key, "_split").withColumns(dict(computed or {}))
+    ranked = spread.withColumn("_local", F.row_number().over(in_split))
     # Best copies of all splits form one group per key; the others stay in the group of their split.
     group = F.when(F.col("_local") > 1, F.col("_split")).otherwise(F.lit(-1))
     of_best = Window.partitionBy(key, "_group").orderBy(*order)

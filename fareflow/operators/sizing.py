@@ -9,8 +9,8 @@ BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``side`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return side.limit(max_rows + 1).count() <= max_rows
+    """True if ``side`` has at most ``max_rows`` rows. Only counts per split go to the driver."""
+    return side.count() <= max_rows
 
 
 def spread(rows: DataFrame) -> DataFrame:

@@ -50,7 +50,8 @@ def _comparable(rows: DataFrame, *leave_out: str) -> DataFrame:
 
 
 def _rounded(rows: DataFrame) -> DataFrame:
-    digits = {"total_revenue": 4, "avg_fare": 6, "avg_duration": 6, "avg_distance": 6}
+    # Sums of money depend on the order of addition; distances and durations are whole here.
+    digits = {"total_revenue": 4, "avg_fare": 2}
     rows = rows.drop("processing_timestamp")
     return rows.withColumns({name: F.round(name, n) for name, n in digits.items() if name in rows.columns})
 

@@ -116,8 +116,8 @@ _SILVER_TRIPS = _with("silver") + "SELECT * FROM silver"
 
 _ZONE_REVENUE = _with("silver") + """
 SELECT pickup_zone, dropoff_zone, zone_id, round(sum(total_amount), 4) AS total_revenue, count(trip_id) AS trip_count,
-    round(avg(fare_amount), 6) AS avg_fare, round(avg(trip_duration), 6) AS avg_duration,
-    round(avg(trip_distance), 6) AS avg_distance
+    round(avg(fare_amount), 2) AS avg_fare, avg(trip_duration) AS avg_duration,
+    avg(trip_distance) AS avg_distance
 FROM silver GROUP BY pickup_zone, dropoff_zone, zone_id"""
 
 _PEAK_HOURS = _with("silver") + """
@@ -125,7 +125,7 @@ SELECT CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour, count(trip_id) AS
 FROM silver GROUP BY hour(pickup_datetime)"""
 
 _DRIVER_PERF = _with("silver") + """
-SELECT driver_id, round(avg(total_amount), 6) AS avg_fare, count(trip_id) AS total_trips
+SELECT driver_id, round(avg(total_amount), 2) AS avg_fare, count(trip_id) AS total_trips
 FROM silver GROUP BY driver_id"""
 
 _LAYER_COUNTS = _with("silver", _ERRORS) + """
