@@ -58,7 +58,10 @@ def later_copies(
     # Only ids that repeat need ranking. The count moves nothing but ids, added up per split first,
     # and the semi-join keeps ids that occur once out of both window shuffles.
     known = rows.filter(F.col(key).isNotNull())
-    repeated = known.groupBy(key).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1").select(key)
+    copies = known.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    # Adaptive execution splits a frequent key in a join only if both sides come straight from a
+    # shuffle. A computed id makes Spark shuffle these few ids again instead of keeping their places.
+    repeated = copies.filter("_copies > 1").select(F.concat(F.col(key), F.lit("")).alias(key))
     # The split number of a row is the same when a lost task runs again.
     split = known.withColumn("_split", F.spark_partition_id()).join(repeated, key, "left_semi")
     # The join leaves rows partitioned by key, which Spark would take for good enough here. Both

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from hypothesis import HealthCheck, given
@@ -75,17 +76,24 @@ def test_first_copies_are_cut_down_before_the_shuffle(spark, hot):
     assert text.count("WindowGroupLimit") >= 2 and "Partial" in text
 
 
+@contextmanager
+def configured(spark, **values):
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
 def test_a_frequent_id_is_ranked_in_small_groups(spark, hot, broadcast):
     """No group of either window holds more than one split, or one row per split."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": broadcast,
-        # Tables this small would be merged into one task.
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
+    # Tables this small would otherwise be merged into one task.
+    apart = {"spark__sql__adaptive__coalescePartitions__enabled": "false"}
+    with configured(spark, spark__sql__autoBroadcastJoinThreshold=broadcast, **apart):
         logged = errors.duplicate_log(hot)
         text = plan(logged).split("== Physical Plan ==")[1]
         assert re.search(r"hashpartitioning\(trip_id#\d+, _split#\d+", text)
@@ -94,9 +102,20 @@ def test_a_frequent_id_is_ranked_in_small_groups(spark, hot, broadcast):
         tasks = logged.filter("trip_id = 'hot'").groupBy(F.spark_partition_id()).count().collect()
         sizes = [row["count"] for row in tasks]
         assert sum(sizes) > 1800 and len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
+
+
+def test_a_frequent_id_is_split_in_the_join(spark, hot, tmp_path):
+    hot.write.parquet(str(tmp_path / "hot"))
+    small = {
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "50KB",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    }
+    with configured(spark, **small):
+        logged = errors.duplicate_log(spark.read.parquet(str(tmp_path / "hot")))
+        logged.collect()
+        assert "SortMergeJoin(skew=true)" in plan(logged)
 
 
 def test_no_cross_joins_or_python_in_the_plans(spark, data):
