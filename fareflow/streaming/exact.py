@@ -1,9 +1,10 @@
 """Cleaned layer as a stream that takes in each trip id once, ever, and always its first copy.
 
-Ids taken in so far are kept in a table rather than in the state store. Per batch: find the first
-copies, leave out ids of earlier batches, store the new ids, then store the cleaned rows. Both
-writes replace the partition of their own batch, and ids of the running batch are not looked at,
-so a batch that runs again after a crash gives the same rows.
+Ids taken in so far are kept in a table rather than in the state store. Per batch: store the ids
+that earlier batches do not have, then store the cleaned first copies of these ids. Both writes
+replace the partition of their own batch, and ids of the running batch are not looked at, so a
+batch that runs again after a crash gives the same rows. Only ids are held in memory between the
+two writes; the rows themselves are read again, which costs less than to keep them.
 
 Over several batches, the first copy is the one taken in first. That is the first by arrival time, as
 raw rows come in by arrival. If options pace the stream so that rows with one arrival time fall into
@@ -40,27 +41,29 @@ def silver_stage(
     **options: str | int,
 ) -> StreamingQuery:
     """Start bringing the cleaned layer up to date with the raw layer; ``options`` pace the stream."""
-    trips = prepare(layers.stream("bronze_trips", **options))
+    trips = layers.stream("bronze_trips", **options)
     seen_ids = layers.create("seen_ids")
-    silver = layers.create("silver_trips", derive(trips, lookup).schema)
+    silver = layers.create("silver_trips", derive(prepare(trips), lookup).schema)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        first = fresh = first_copies(batch).persist()
         earlier = session.table(seen_ids).filter(F.col("batch_id") < batch_id)
-        if not earlier.isEmpty():
-            fresh = unseen(first, earlier).persist()
-        try:
-            _store_batch(fresh.select(KEY), seen_ids, batch_id)
-            cleaned = expect_or_drop(derive(fresh, lookup), rules, on_null)
-            # After a crash the rows may be there already. Files that are whole stay as they are:
-            # rewritten under new names, the aggregates would count them again.
-            stored = session.table(silver).filter(F.col("batch_id") == batch_id).count()
-            if stored == 0 or stored != cleaned.count():
-                _store_batch(cleaned, silver, batch_id)
-        finally:
-            fresh.unpersist()
-            first.unpersist()
+        is_first_batch = earlier.isEmpty()
+        ids = batch.select(KEY).filter(F.col(KEY).isNotNull()).distinct().persist()
+        _store_batch(ids if is_first_batch else unseen(ids, earlier), seen_ids, batch_id)
+        ids.unpersist()
+
+        first = first_copies(prepare(batch))
+        if not is_first_batch:
+            # One row per id on both sides, and the rows already lie by id.
+            taken_in = session.table(seen_ids).filter(F.col("batch_id") == batch_id)
+            first = first.join(taken_in.select(KEY), KEY, "left_semi")
+        cleaned = expect_or_drop(derive(first, lookup), rules, on_null)
+        # After a crash the rows may be there already. Files that are whole stay as they are:
+        # rewritten under new names, the aggregates would count them again.
+        stored = session.table(silver).filter(F.col("batch_id") == batch_id).count()
+        if stored == 0 or stored != cleaned.count():
+            _store_batch(cleaned, silver, batch_id)
 
     return (
         trips.writeStream.foreachBatch(write_batch)
