@@ -50,8 +50,10 @@ def silver_stage(
         earlier = session.table(seen_ids).filter(F.col("batch_id") < batch_id)
         is_first_batch = earlier.isEmpty()
         ids = batch.select(KEY).filter(F.col(KEY).isNotNull()).distinct().persist()
-        _store_batch(ids if is_first_batch else unseen(ids, earlier), seen_ids, batch_id)
-        ids.unpersist()
+        try:
+            _store_batch(ids if is_first_batch else unseen(ids, earlier), seen_ids, batch_id)
+        finally:
+            ids.unpersist()
 
         first = first_copies(prepare(batch))
         if not is_first_batch:
