@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import pii, shard_tree
 from .bpe_codec import encode_texts
 from .common import table
 from .token_counts import count_tokens
@@ -15,6 +16,15 @@ from .token_counts import count_tokens
 TOKEN_LIMIT = 512
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_pii(table(spark, folder, "documents"))
+    count = lambda kind: F.size(pii.of_kinds(F.col("spans"), kind)).cast("long").alias(f"n_{kind}")
+    base = pii.written(pii.of_kinds(F.col("spans"), *pii.BASE))
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.BASE], F.sha2(base, 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans")
+    )
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     counts = count_tokens(table(spark, folder, "documents"), path, TOKEN_LIMIT)
@@ -32,9 +42,19 @@ def op4_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
+    tree = shard_tree.even_tree(24)
+    placed = shard_tree.shard_rows(table(spark, folder, "documents"), tree, shard_tree.grown(tree, 24))
+    return placed.withColumn("law", F.lit("key")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
     "op4_bpe_codec": op4_bpe_codec,
+    "op10_shard_tree": op10_shard_tree,
 }
 
 ORACLES: dict[str, str] = {}
