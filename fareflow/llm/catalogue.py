@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, shard_tree
+from ..session import shared_folder
+from . import exact_dedup, mixing, pii, shard_tree, warc
 from .bpe_codec import encode_texts
 from .common import table
 from .token_counts import count_tokens
@@ -42,6 +43,24 @@ def op4_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.mix(table(spark, folder, "documents"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return rows.select("doc_id", "size", "source_size", "target", taken, "copies")
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/archives"
+    chunks = warc.chunk_records(table(spark, folder, "pages"))
+    warc.write_archives(chunks, warc.record_types(chunks), path)
+    return warc.read_archives(spark, path)
+
+
 def op10_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
     tree = shard_tree.even_tree(24)
     placed = shard_tree.shard_rows(table(spark, folder, "documents"), tree, shard_tree.grown(tree, 24))
@@ -54,7 +73,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
     "op4_bpe_codec": op4_bpe_codec,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op7_mixing": op7_mixing,
+    "op9_warc": op9_warc,
     "op10_shard_tree": op10_shard_tree,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
+}

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -65,3 +65,14 @@ def row_keys(df: DataFrame) -> DataFrame:
         return df.withColumns({"__file": F.xxhash64("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
     except AnalysisException:
         return checkpointed(df.withColumns({"__file": F.lit(0).cast("long"), "__row": F.monotonically_increasing_id()}))
+
+
+def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Number the rows of a frame from 0 by ``order``, by a range sort and the sizes of its partitions."""
+    rows = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(out, F.monotonically_increasing_id()))
+    sizes = rows.groupBy(F.shiftright(out, 33).alias("__part")).agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each partition.
+    sizes = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    rows = rows.withColumn("__part", F.shiftright(out, 33)).join(F.broadcast(sizes), "__part")
+    return rows.withColumn(out, F.col(out) - F.shiftleft("__part", 33) + F.col("__before")).drop("__part", "__before")

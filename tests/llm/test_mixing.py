@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from fareflow.llm import catalogue, mixing
+from pyspark.sql import functions as F
+
+
+def plain_targets(sizes: dict) -> dict:
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, free, left = {}, set(order), 1.5 * sum(sizes.values())
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] > 2 * sizes[s]}
+        if not over:
+            return target | {s: level * weight[s] for s in free}
+        for s in over:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+        free -= over
+    return target
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    query = catalogue.QUERIES["op7_mixing"]
+    rows = query(spark, folder).collect()
+    assert len(rows) == len(docs)
+    sizes, taken, largest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows:
+        doc = docs[r.doc_id]
+        assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", doc.text or ""))
+        assert 0 <= r.taken <= 2 * r.size
+        sizes[doc.source] += r.size
+        taken[doc.source] += r.taken
+        largest[doc.source] = max(largest[doc.source], r.size)
+    targets = plain_targets(sizes)
+    for r in rows:
+        source = docs[r.doc_id].source
+        assert r.source_size == sizes[source] and r.target == pytest.approx(targets[source])
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= largest[source] / 2 + 1e-6
+    assert sorted(query(spark, folder).collect()) == sorted(rows)
+
+
+def test_many_levels_keep_words_and_shares(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_ROWS", 8)
+    monkeypatch.setattr(mixing, "FAN_IN", 3)
+    text = F.repeat(F.lit("w "), (F.col("id") % 7 + 1).cast("int"))
+    docs = spark.range(2000).select(
+        F.col("id").alias("doc_id"), text.alias("text"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).cast("string").alias("source")
+    )
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 2000
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r.target].append(r)
+    for target, found in by_source.items():
+        assert abs(sum(r.copies * r.size for r in found) - target) <= 4
+        # Each size is taken about as often as the others: the rounding favours none.
+        rate = target / found[0].source_size
+        for size in range(1, 8):
+            some = [r.copies for r in found if r.size == size]
+            assert abs(sum(some) / len(some) - rate) < 0.25
+
+
+def test_missing_texts_ids_and_sources(spark):
+    docs = spark.createDataFrame(
+        [(None, None, None), (1, "", "a"), (1, "", "a"), (2, "x y", "a"), (3, " ", "b")], "doc_id long, text string, source string"
+    ).withColumns({"size": F.lit(1), "target": F.lit(2), "part": F.lit("x")})
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 5 and sum(r.size for r in rows) == 2
+    assert mixing.mix(docs.limit(0)).count() == 0
