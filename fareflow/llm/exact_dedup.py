@@ -130,7 +130,8 @@ def exact_duplicates(
     named = name_texts(docs, block_bytes, id_col, text_col)
     same = ["blocks", "name"]
     groups = named.groupBy(*same).agg(F.max(F.struct("id", *ROW)).alias("stays"), F.count("*").alias("group_size"))
-    rows = named.join(groups, same)
+    # Kept apart from the join, so that the join may split a group that has very many rows.
+    rows = named.join(checkpointed(groups), same)
     return rows.select(
         *ROW,
         F.col("id").alias(id_col),
