@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import exact_dedup, mixing, pii, shard_tree, warc
+from . import exact_dedup, jaccard_join, mixing, pii, shard_tree, warc
 from .bpe_codec import encode_texts
 from .common import table
 from .token_counts import count_tokens
@@ -32,6 +32,11 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_bytes")
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    rows = jaccard_join.near_duplicates(table(spark, folder, "documents"), n=3, percent=90)
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = encode_texts(table(spark, folder, "documents"), path, decoded=True)
@@ -72,6 +77,7 @@ def op10_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe_codec": op4_bpe_codec,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,

@@ -67,12 +67,28 @@ def row_keys(df: DataFrame) -> DataFrame:
         return checkpointed(df.withColumns({"__file": F.lit(0).cast("long"), "__row": F.monotonically_increasing_id()}))
 
 
-def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
-    """Number the rows of a frame from 0 by ``order``, by a range sort and the sizes of its partitions."""
-    rows = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(out, F.monotonically_increasing_id()))
-    sizes = rows.groupBy(F.shiftright(out, 33).alias("__part")).agg(F.count("*").alias("__n"))
+# Rows of keys, 16 bytes or so each, that are still sent to every task; beyond it rows are shuffled to their keys.
+KEY_ROWS = 1_000_000
+
+
+def restrict(df: DataFrame, keys: DataFrame, on: list[str], keep: bool) -> DataFrame:
+    """The rows of ``df`` whose key is in ``keys`` (with its other columns), or is not; ``keys`` has each key once."""
+    if keys.limit(KEY_ROWS + 1).count() <= KEY_ROWS:
+        keys = F.broadcast(keys)
+    return df.join(keys, on, "inner" if keep else "left_anti")
+
+
+def dense(df: DataFrame, column: str) -> DataFrame:
+    """Close the gaps of a stored ``monotonically_increasing_id``: numbers from 0, in the same order."""
+    sizes = df.groupBy(F.shiftright(column, 33).alias("__part")).agg(F.count("*").alias("__n"))
     earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each partition.
     sizes = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    rows = rows.withColumn("__part", F.shiftright(out, 33)).join(F.broadcast(sizes), "__part")
-    return rows.withColumn(out, F.col(out) - F.shiftleft("__part", 33) + F.col("__before")).drop("__part", "__before")
+    rows = df.withColumn("__part", F.shiftright(column, 33)).join(F.broadcast(sizes), "__part")
+    return rows.withColumn(column, F.col(column) - F.shiftleft("__part", 33) + F.col("__before")).drop("__part", "__before")
+
+
+def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Number the rows of a frame from 0 by ``order``, by a range sort and the sizes of its partitions."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(out, F.monotonically_increasing_id())
+    return dense(checkpointed(rows), out)
