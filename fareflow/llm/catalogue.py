@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import exact_dedup, jaccard_join, mixing, pii, shard_tree, warc
+from . import exact_dedup, jaccard_join, mixing, pii, shard_tree, toxicity, vector_graph, warc
 from .bpe_codec import encode_texts
 from .common import table
 from .token_counts import count_tokens
@@ -48,6 +48,13 @@ def op4_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score_texts(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = exact_dedup.exact_duplicates(table(spark, folder, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -59,6 +66,12 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
+def op8_vector_graph(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    index = vector_graph.build_index(vectors, k=20)
+    return vector_graph.search(index, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/archives"
     chunks = warc.chunk_records(table(spark, folder, "pages"))
@@ -79,8 +92,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
+    "op8_vector_graph": op8_vector_graph,
     "op9_warc": op9_warc,
     "op10_shard_tree": op10_shard_tree,
 }

@@ -56,11 +56,14 @@ def map_rows(
 def row_keys(df: DataFrame) -> DataFrame:
     """Add ``__file`` and ``__row``, which tell rows apart even where their ids repeat or are missing.
 
+    Names with two leading underscores are for such keys; a frame that has both columns keeps them.
     Stored tables have such a key of their own, which is the same on every scan. Other frames are
     kept first, because what they compute could come in another order the next time.
     """
     from pyspark.errors import AnalysisException
 
+    if {"__file", "__row"} <= set(df.columns):
+        return df
     try:
         return df.withColumns({"__file": F.xxhash64("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
     except AnalysisException:

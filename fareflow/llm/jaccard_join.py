@@ -170,7 +170,8 @@ def _first_look(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
     """Signed rows, the classes of equal sets, and the postings of tokens at which several classes meet."""
     signed = _signed(docs, n, percent)
     full = signed.filter("n > 0")
-    classes = checkpointed(full.groupBy("digest").agg(F.min("sid").alias("rep"), F.min("id").alias("least_id"), F.count("*").alias("rows")))
+    head = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "sid")).alias("head")
+    classes = checkpointed(full.groupBy("digest").agg(F.min("sid").alias("rep"), head, F.count("*").alias("rows")))
     # Rows that repeat an earlier set need no postings of their own.
     again = full.select("sid", "digest").join(classes.filter("rows > 1").select("digest", "rep"), "digest").filter("sid > rep").select("sid")
     reps = restrict(full, checkpointed(again), ["sid"], keep=False)
@@ -185,7 +186,8 @@ def _first_look(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
 def near_duplicates(
     docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: its place, the id, ``n_shingles``, ``component_id`` and ``first``: it is the first row of its component.
+    """Per row: its place, the id, ``n_shingles``, ``component_id`` and ``first``: of its component, it is the row
+    of the smallest id.
 
     Two texts are linked if the share of common n-grams among all of both is ``percent`` or more; components are
     what links connect.
@@ -227,8 +229,9 @@ def near_duplicates(
     # From rows to classes, from classes to components, and back.
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     named = checkpointed(named)
-    least = named.groupBy("label").agg(F.min("least_id").alias("component_id"), F.min("rep").alias("first_sid"))
-    named = checkpointed(named.join(least, "label").select("digest", "component_id", "first_sid"))
+    least = checkpointed(named.groupBy("label").agg(F.min("head").alias("least")))
+    named = named.join(least, "label")
+    named = checkpointed(named.select("digest", F.col("least.id").alias("component_id"), F.col("least.sid").alias("first_sid")))
     rows = signed.select(*ROW, "id", "sid", "n", "digest").join(named, "digest", "left")
     return rows.select(
         *ROW,

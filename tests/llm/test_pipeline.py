@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import base64
+from collections import Counter
+
+import public_tokenizers
+import tiktoken
+from fareflow.llm import toxicity
+from fareflow.llm.common import table
+
+import corpus_pipeline
+
+from .test_jaccard_join import plain
+from .test_mixing import plain_targets
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_each_stage_against_a_plain_version(spark, tmp_path):
+    docs = table(spark, FOLDER, "documents")
+    columns = docs.columns
+    kept = {r.doc_id: r for r in docs.collect()}
+    for place, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(place))
+        stage(spark, docs, FOLDER).write.parquet(path)
+        given, docs = docs, spark.read.parquet(path)
+        rows = docs.collect()
+        if name != "byte-level BPE":
+            assert docs.columns == columns
+        if name == "toxicity":
+            scores = toxicity.fit(given, table(spark, FOLDER, "labels")).score([r.text for r in kept.values()])
+            expected = {i for i, s in zip(kept, scores, strict=True) if s < 0.5}
+            assert len(expected) < len(kept)
+        elif name == "exact dedup":
+            expected = set({r.text: i for i, r in sorted(kept.items())}.values())
+        elif name == "n-gram Jaccard join":
+            groups = plain({i: r.text for i, r in kept.items()}, 5, 80)
+            expected = {c for _, c in groups.values()}
+        elif name == "mixing":
+            sizes = Counter()
+            for r in kept.values():
+                sizes[r.source] += len(r.text.encode().split())
+            taken, copies = Counter(), Counter()
+            for r in rows:
+                assert r == kept[r.doc_id]
+                taken[r.source] += len(r.text.encode().split())
+                copies[r.doc_id] += 1
+            assert max(copies.values()) <= 2
+            for source, target in plain_targets(sizes).items():
+                largest = max(len(r.text.encode().split()) for r in kept.values() if r.source == source)
+                assert abs(taken[source] - target) <= largest / 2 + 1
+            continue
+        else:
+            with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            assert Counter(r.doc_id for r in rows) == copies
+            for r in rows:
+                ids = list(memoryview(bytes(r.ids)).cast("I"))
+                assert ids == library.encode_ordinary(kept[r.doc_id].text) and len(ids) == r.n_tokens
+            continue
+        assert sorted(r.doc_id for r in rows) == sorted(expected)
+        kept = {i: kept[i] for i in expected}
+
+
+def test_run(spark):
+    rows = corpus_pipeline.run(spark, FOLDER)
+    assert rows.columns == ["doc_id", "n_tokens", "ids"] and rows.count() > 0
