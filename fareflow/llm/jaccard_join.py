@@ -130,8 +130,13 @@ def _enough(n1: Column, n2: Column, common: Column, percent: int) -> Column:
     return 100 * common >= percent * (n1 + n2 - common)
 
 
-def _filtered(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
+
+
+def _filtered(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes are near enough and which share prefix tokens under the other orders too."""
+    signs = restrict(signed.select("sid", "n", "second", "third"), _nodes(pairs), ["sid"], keep=True)
     sides = []
     for side in ("a", "b"):
         sides.append(signs.select(F.col("sid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "second", "third")]))
@@ -143,8 +148,11 @@ def _filtered(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs that are similar enough, by their whole sets."""
+def _verified(pairs: DataFrame, signed: DataFrame, base: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs that are similar enough, by their whole sets. Only texts that are in a pair are read to be shuffled."""
+    pairs = checkpointed(pairs)
+    places = checkpointed(restrict(signed.select(*ROW, "sid"), _nodes(pairs), ["sid"], keep=True))
+    texts = restrict(base.select(*ROW, "text"), places, ROW, keep=True)
     first = texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
 
@@ -195,16 +203,11 @@ def near_duplicates(
     base = row_keys(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *ROW)
     signed, classes, meeting = _first_look(base, n, percent)
 
-    involved = checkpointed(meeting.select("sid").distinct())
-    signs = checkpointed(restrict(signed.select("sid", "n", "second", "third"), involved, ["sid"], keep=True))
-    places = checkpointed(restrict(signed.select(*ROW, "sid"), involved, ["sid"], keep=True))
-    texts = restrict(base.select(*ROW, "text"), places, ROW, keep=True).select("sid", "text")
-
     lead = meeting.filter("sid = lead").select("token", F.col("pos").alias("lead_pos"), F.col("n").alias("lead_n"))
     room = lambda n1, p1, n2, p2: _enough(F.col(n1), F.col(n2), F.least(F.col(n1) - F.col(p1), F.col(n2) - F.col(p2)), percent)
     pairs = meeting.filter("sid <> lead").join(lead, "token").filter(room("n", "pos", "lead_n", "lead_pos"))
     pairs = checkpointed(pairs.select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct())
-    links = _verified(_filtered(pairs, signs, percent), texts, n, percent)
+    links = _verified(_filtered(pairs, signed, percent), signed, base, n, percent)
 
     # What the leaders did not join: members of different components that meet at a token.
     labels = checkpointed(components(links))
@@ -223,7 +226,7 @@ def near_duplicates(
     later = met.select(F.least("sid1", "sid2").alias("a"), F.greatest("sid1", "sid2").alias("b")).distinct()
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     later = checkpointed(later.join(done, ["a", "b"], "left_anti"))
-    links = links.union(_verified(_filtered(later, signs, percent), texts, n, percent))
+    links = links.union(_verified(_filtered(later, signed, percent), signed, base, n, percent))
     labels = components(links)
 
     # From rows to classes, from classes to components, and back.
