@@ -24,7 +24,7 @@ import regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 # Entries that a worker keeps: pieces, and decisions on pairs of tokens.
-CACHED = 300_000
+CACHED = 150_000
 # Longer pieces are rare and not kept, nor are longer prefixes.
 CACHED_LENGTH = 200
 SHARED_LENGTH = 32

@@ -32,11 +32,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def map_rows(
-    df: DataFrame, schema: str, rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]]
+    df: DataFrame,
+    schema: str,
+    rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
+    kept: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Run ``rows`` over each partition. It gets slices as lists by column and yields such lists.
 
-    Slices are small, so that a worker holds few texts at once.
+    Slices are small, so that a worker holds few texts at once. ``kept`` is called after each partition, to empty
+    what was kept for speed: workers live on, and later stages need their memory.
     """
     kind = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(kind)
@@ -49,6 +53,8 @@ def map_rows(
 
         for columns in rows(slices()):
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+        if kept:
+            kept()
 
     return df.mapInArrow(batches, kind)
 

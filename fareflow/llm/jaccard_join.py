@@ -37,7 +37,7 @@ from .components import components
 ROW = ["__file", "__row"]
 SLOT_BITS = 22
 # Hashed words that a worker keeps.
-CACHED = 1_000_000
+CACHED = 250_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _ORDERS = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -53,6 +53,10 @@ class _Words(dict):
 _HASHED = _Words()
 
 
+def _forget() -> None:
+    _HASHED.clear()
+
+
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Hashes of the distinct n-grams, sorted. Words end at ASCII white space; only A-Z are lower-cased."""
     words = (text or "").encode().lower().split()
@@ -90,7 +94,7 @@ def _counts(docs: DataFrame, n: int) -> np.ndarray:
         a, b = (np.frombuffer(zlib.decompress(v), np.uint32) for v in (x, y))
         return zlib.compress(np.minimum(a.astype(np.uint64) + b, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
 
-    partial = map_rows(docs.select("text"), "counts binary", rows).rdd.map(lambda row: bytes(row[0]))
+    partial = map_rows(docs.select("text"), "counts binary", rows, _forget).rdd.map(lambda row: bytes(row[0]))
     if not partial.getNumPartitions():
         return np.zeros(1 << SLOT_BITS, np.uint32)
     zero = zlib.compress(np.zeros(1 << SLOT_BITS, np.uint32).tobytes(), 1)
@@ -122,7 +126,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"__file long, __row long, id {kind}, n long, digest binary, rare array<long>, second array<int>, third array<int>"
-    return dense(checkpointed(map_rows(docs, schema, rows).withColumn("sid", F.monotonically_increasing_id())), "sid")
+    return dense(checkpointed(map_rows(docs, schema, rows, _forget).withColumn("sid", F.monotonically_increasing_id())), "sid")
 
 
 def _enough(n1: Column, n2: Column, common: Column, percent: int) -> Column:
@@ -171,7 +175,7 @@ def _verified(pairs: DataFrame, signed: DataFrame, base: DataFrame, n: int, perc
             yield links
 
     joined = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
-    return checkpointed(map_rows(joined, "a long, b long", rows))
+    return checkpointed(map_rows(joined, "a long, b long", rows, _forget))
 
 
 def _first_look(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -35,7 +35,7 @@ LEAST_Z = 4.0
 PENALTY = 1.0
 L2 = 1e-5
 STEPS = 600
-CACHED = 500_000
+CACHED = 150_000
 
 # Groups of words that name people; each word is swapped for the next one of its group.
 IDENTITIES = (
@@ -71,6 +71,10 @@ class _Features(dict):
 _FEATURES = _Features()
 
 
+def _forget() -> None:
+    _FEATURES.clear()
+
+
 def features(text: str | None, swap: bool = False) -> np.ndarray:
     """The distinct features of a text, or of its counterfactual."""
     words = set((text or "").split())
@@ -133,7 +137,7 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
         total = sum(np.frombuffer(zlib.decompress(v[0]), np.uint32) for v in (x, y))
         return zlib.compress(total.tobytes(), 1), x[1] + y[1], x[2] + y[2]
 
-    partial = map_rows(rows, "counts binary, clean long, toxic long", count).rdd.map(lambda r: (bytes(r[0]), r[1], r[2]))
+    partial = map_rows(rows, "counts binary, clean long, toxic long", count, _forget).rdd.map(lambda r: (bytes(r[0]), r[1], r[2]))
     total = partial.treeAggregate(None, add, add, depth=3) if partial.getNumPartitions() else None
     if total is None:
         return np.zeros(1 << FEATURE_BITS), np.zeros(1 << FEATURE_BITS), 0, 0
@@ -175,7 +179,7 @@ def fit(
             yield {"own": pairs[0], "swapped": pairs[1], "label": part["label"]}
 
     # Some tens of numbers for each of at most ``train_rows`` texts.
-    data = map_rows(rows, "own array<int>, swapped array<int>, label int", reduce).collect()
+    data = map_rows(rows, "own array<int>, swapped array<int>, label int", reduce, _forget).collect()
     return _fit(data, chosen, penalty)
 
 
@@ -220,4 +224,4 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     docs = row_keys(docs).select("__file", "__row", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    return map_rows(docs, f"__file long, __row long, `{id_col}` {kind}, score double", rows)
+    return map_rows(docs, f"__file long, __row long, `{id_col}` {kind}, score double", rows, _forget)
