@@ -1,18 +1,16 @@
 from .copies import copy_order, first_copies, later_copies, stream_first_copies, unseen
-from .lookup import enrich_zone, zone_lookup
+from .lookup import checked_lookup, enrich_zone, zone_lookup
 from .rules import count_violations, expect_or_drop, observe_rules
-from .sizing import fits_broadcast, spread
 
 __all__ = [
+    "checked_lookup",
     "copy_order",
     "count_violations",
     "enrich_zone",
     "expect_or_drop",
     "first_copies",
-    "fits_broadcast",
     "later_copies",
     "observe_rules",
-    "spread",
     "stream_first_copies",
     "unseen",
     "zone_lookup",

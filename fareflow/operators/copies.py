@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ARRIVAL, KEY, WATERMARK_DELAY
-from .sizing import BROADCAST_ROWS, fits_broadcast
-
 _UNORDERED = (T.MapType, T.VariantType)
 
 
@@ -30,7 +28,7 @@ def copy_order(rows: DataFrame, key: str = KEY, lead: tuple[str, ...] = (ARRIVAL
     """Columns that order the copies of one key: the ``lead`` columns, then every other column."""
     sortable = [f.name for f in rows.schema.fields if f.name != key and not isinstance(f.dataType, _UNORDERED)]
     leading = [name for name in lead if name in sortable]
-    return leading + [name for name in sortable if name not in leading]
+    return [f"`{name}`" for name in leading + [name for name in sortable if name not in leading]]
 
 
 def first_copies(rows: DataFrame, key: str = KEY, order: list[str] | None = None) -> DataFrame:
@@ -76,20 +74,18 @@ def later_copies(
         ranked.withColumn("_group", group)
         .withColumn("_rank", F.row_number().over(of_best))
         .filter((F.col("_local") > 1) | (F.col("_rank") > 1))
-        .select(*rows.columns)
+        .select(*[f"`{name}`" for name in rows.columns])
     )
 
 
-def unseen(rows: DataFrame, seen: DataFrame, key: str = KEY, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def unseen(rows: DataFrame, seen: DataFrame, key: str = KEY) -> DataFrame:
     """Rows whose key is not in ``seen``; ``rows`` holds each key once and ``seen`` may be huge.
 
-    While the keys of ``rows`` are few, they go to where ``seen`` lies and pick out the matches, so
-    that ``seen`` is scanned but not shuffled. Beyond that, both sides are shuffled by key.
+    Matches are picked out first: while Spark measures the keys of ``rows`` as few enough, they go to where
+    ``seen`` lies, which is then scanned but not shuffled.
     """
-    keys = rows.select(key)
-    if fits_broadcast(keys, max_rows):
-        seen = seen.join(F.broadcast(keys), key, "left_semi")
-    return rows.join(seen.select(key), key, "left_anti")
+    matches = seen.join(rows.select(key), key, "left_semi").select(key)
+    return rows.join(matches, key, "left_anti")
 
 
 def stream_first_copies(

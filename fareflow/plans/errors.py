@@ -6,22 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import local_now, parse_trip_time, sanitize_numeric, trip_metrics, trip_times
-from ..operators import copy_order, later_copies
+from ..operators import copy_order, first_copies, later_copies
 from ..schema import KEY, MALFORMED, MAX_DURATION, MAX_SPEED
+from ..sources.layers import quoted
 
 
 def _snapshot(rows: DataFrame) -> Column:
     """The whole row, with trip times still as text."""
-    return F.struct(*[F.col(name) for name in rows.columns])
+    return F.struct(*[F.col(quoted(name)).alias(name) for name in rows.columns])
 
 
 def _entry(applies: Column, reason: Column, category: str) -> Column:
     return F.when(applies, F.struct(reason.alias("error_reason"), F.lit(category).alias("error_category")))
 
 
-def error_log(bronze: DataFrame) -> DataFrame:
+def category_counts(errors: DataFrame) -> DataFrame:
+    """Log rows per category."""
+    return errors.groupBy("error_category").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def error_log(bronze: DataFrame, on_null: str = "keep") -> DataFrame:
     """INVALID rows (speed or duration over the limit) and ANOMALY rows (no trip id).
 
+    With ``on_null="drop"``, rows that the cleaned layer drops because speed or duration is unknown are INVALID too.
+
     A row that is both is logged twice. The log is the union of the two kinds, read in one pass:
     each bad row carries up to two entries, which are then unpacked. An ANOMALY entry has no
     duration or speed. Works on streams as it keeps no state.
@@ -31,11 +39,14 @@ def error_log(bronze: DataFrame) -> DataFrame:
     checked = trip_metrics(trip_times(rows.withColumn("row_data", _snapshot(rows))))
     too_fast = F.coalesce(F.col("speed") > MAX_SPEED, F.lit(False))
     too_long = F.coalesce(F.col("trip_duration") > MAX_DURATION, F.lit(False))
+    unknown = F.lit(on_null == "drop") & (F.col("speed").isNull() | F.col("trip_duration").isNull())
     no_id = F.col(KEY).isNull()
     entries = F.array(
         _entry(
-            too_fast | too_long,
-            F.when(too_fast, F.lit("Invalid Speed")).otherwise(F.lit("Invalid Duration")),
+            too_fast | too_long | unknown,
+            F.when(too_fast, F.lit("Invalid Speed"))
+            .when(too_long, F.lit("Invalid Duration"))
+            .otherwise(F.lit("Unknown Speed or Duration")),
             "INVALID",
         ),
         _entry(no_id, F.lit("Missing trip_id"), "ANOMALY"),
@@ -45,7 +56,7 @@ def error_log(bronze: DataFrame) -> DataFrame:
     logged = checked.withColumn("_entry", F.explode(entries)).filter(F.col("_entry").isNotNull())
     measured = F.col("_entry.error_category") == "INVALID"
     return logged.select(
-        *columns,
+        *map(quoted, columns),
         F.when(measured, F.col("trip_duration")).alias("trip_duration"),
         F.when(measured, F.col("speed")).alias("speed"),
         "_entry.error_reason",
@@ -55,14 +66,21 @@ def error_log(bronze: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_log(bronze: DataFrame) -> DataFrame:
-    """Every copy of a trip id but the first, in the order that the cleaned layer uses."""
+def duplicate_log(bronze: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Every copy of a trip id but the first, in the order that the cleaned layer uses.
+
+    For a batch, ``earlier`` holds the ids that batches before it have taken in: of these, the first copy
+    in the batch is a later one too.
+    """
     rows = sanitize_numeric(bronze.drop(MALFORMED))
     # Same order as the cleaned layer, so times count as instants; their text only breaks ties.
     texts = ["pickup_datetime", "dropoff_datetime"]
     instants = {f"_{name}": parse_trip_time(F.col(name)) for name in texts}
-    order = [f"_{name}" if name in texts else name for name in copy_order(rows)] + texts
+    order = [f"_{name[1:-1]}" if name[1:-1] in texts else name for name in copy_order(rows)] + texts
     copies = later_copies(rows, order=order, computed=instants)
+    if earlier is not None:
+        first = first_copies(rows.withColumns(instants), order=order).drop(*instants)
+        copies = copies.unionByName(first.join(earlier.select(KEY), KEY, "left_semi").select(*map(quoted, rows.columns)))
     return copies.withColumns(
         {
             "error_reason": F.lit("Duplicate trip_id"),

@@ -139,6 +139,12 @@ _EXPECT = _with("measured") + """
 SELECT trip_id, trip_duration, speed FROM measured
 WHERE coalesce(speed <= 120, {unknown}) AND coalesce(trip_duration <= 180, {unknown})"""
 
+_DUPLICATE_LOG = (_with("ranked")
+    + f"""SELECT trip_id, driver_id, passenger_count, pickup_datetime, dropoff_datetime, pickup_zone, dropoff_zone,
+    trip_distance, fare_amount, tip_amount, total_amount, ingestion_timestamp,
+    'Duplicate trip_id' AS error_reason, 'DUPLICATE' AS error_category, {_SNAPSHOT}
+FROM ranked WHERE copy > 1""")
+
 ORACLES: dict[str, str] = {
     "bronze_ingest": _BRONZE_INGEST,
     "sanitize_numeric": _with("clean") + "SELECT * FROM clean",
@@ -164,11 +170,7 @@ FROM raw LEFT JOIN zones ON pickup_zone = zone_name""",
     "silver_trips": _SILVER_TRIPS,
     "silver_trips_strict": _SILVER_TRIPS + " WHERE speed <= 120 AND trip_duration <= 180",
     "error_log": _ERROR_LOG,
-    "duplicate_log": _with("ranked")
-    + f"""SELECT trip_id, driver_id, passenger_count, pickup_datetime, dropoff_datetime, pickup_zone, dropoff_zone,
-    trip_distance, fare_amount, tip_amount, total_amount, ingestion_timestamp,
-    'Duplicate trip_id' AS error_reason, 'DUPLICATE' AS error_category, {_SNAPSHOT}
-FROM ranked WHERE copy > 1""",
+    "duplicate_log": _DUPLICATE_LOG,
     "gold_zone_revenue": _ZONE_REVENUE,
     "gold_peak_hours": _PEAK_HOURS,
     "gold_driver_perf": _DRIVER_PERF,
@@ -187,6 +189,23 @@ FROM silver""",
     "stream_gold_zone_revenue": _ZONE_REVENUE,
     "stream_gold_peak_hours": _PEAK_HOURS,
     "stream_gold_driver_perf": _DRIVER_PERF,
+    "stream_gold_complete": _PEAK_HOURS,
+    "stream_duplicate_log": _DUPLICATE_LOG,
+    "quality_counts": _with("ranked")
+    + """SELECT count(*) AS row_count, count(*) FILTER (speed > 120) AS valid_speed_violations,
+    count(*) FILTER (trip_duration > 180) AS valid_duration_violations,
+    count(*) FILTER (trip_duration IS NULL) AS unparsed_times,
+    count(*) FILTER (trip_duration <= 0) AS backwards_times, 'RULES' AS error_category
+FROM ranked WHERE copy = 1""",
+    "category_counts": _with("measured", _ERRORS)
+    + 'SELECT error_category, count(*) AS "rows" FROM errors GROUP BY error_category',
+    "error_log_strict": _with("measured")
+    + """SELECT error_category, error_reason, count(*) AS "rows" FROM (
+    SELECT 'INVALID' AS error_category, CASE WHEN speed > 120 THEN 'Invalid Speed'
+        WHEN trip_duration > 180 THEN 'Invalid Duration' ELSE 'Unknown Speed or Duration' END AS error_reason
+    FROM measured WHERE NOT coalesce(speed <= 120 AND trip_duration <= 180, FALSE)
+    UNION ALL SELECT 'ANOMALY', 'Missing trip_id' FROM measured WHERE trip_id IS NULL)
+GROUP BY error_category, error_reason""",
     "stream_dedup_bounded": _DISTINCT_IDS,
     "stream_dedup_unbounded": _DISTINCT_IDS,
 }

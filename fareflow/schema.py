@@ -85,6 +85,20 @@ GOLD_PEAK_HOURS = _struct("pickup_hour integer, trips long, processing_timestamp
 
 GOLD_DRIVER_PERF = _struct("driver_id string, avg_fare double, total_trips long, processing_timestamp timestamp")
 
+# What each batch adds to the aggregates.
+ZONE_SUMS = _struct(
+    "pickup_zone string, dropoff_zone string, zone_id string, total_revenue double, trip_count long, "
+    "fare_sum double, fare_n long, duration_sum double, duration_n long, distance_sum double, distance_n long"
+)
+
+HOUR_SUMS = _struct("pickup_hour integer, trips long")
+
+DRIVER_SUMS = _struct("driver_id string, total_sum double, total_n long, total_trips long")
+
+QUALITY_LOG = _struct(
+    "row_count long, valid_speed_violations long, valid_duration_violations long, unparsed_times long, backwards_times long"
+)
+
 PIPELINE_LOG = _struct(
     "RunId string, Timestamp timestamp, Status string, ProcessedRecordCount long, "
     "InvalidAnomalyCount long, DuplicateCount long, FileName string"

@@ -10,6 +10,9 @@ from ..functions import local_now
 from ..schema import ARRIVAL, MALFORMED, RAW
 
 
+MAX_FILE_AGE = "36500d"
+
+
 def csv_schema(spark: SparkSession, path: str) -> T.StructType:
     """All-text schema from the header line, for files with more columns or another column order."""
     return spark.read.option("header", True).csv(path).schema
@@ -49,6 +52,13 @@ def stream_trips(
     now: Column | None = None,
     **options: str | int,
 ) -> DataFrame:
-    """Trip files as a stream over a folder; ``options`` are file-source options such as maxFilesPerTrigger."""
-    reader = spark.readStream.options(**options)
+    """Trip files as a stream over a folder; ``options`` are file-source options such as maxFilesPerTrigger.
+
+    Left alone, Spark passes over files that are a week older than the newest one it has seen. Copies and late
+    deliveries may keep an old date, so here only files older than ``MAX_FILE_AGE`` before the newest are passed
+    over. The source remembers each file taken in for that long; where that list gets too long, move
+    files away once they are taken in (``cleanSource="archive"`` with ``sourceArchiveDir``) or give a shorter
+    ``maxFileAge``.
+    """
+    reader = spark.readStream.options(**{"maxFileAge": MAX_FILE_AGE} | options)
     return with_arrival(_configured(reader, schema, keep_malformed).csv(path), now)

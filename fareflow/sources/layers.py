@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,11 @@ TABLES = {
     "silver_trips": TableSpec("silver", S.SILVER, "Cleaned, checked and de-duplicated trips", "silver", True),
     "seen_ids": TableSpec("silver", S.SEEN_IDS, "Trip ids that the cleaned layer has taken in", None, True),
     "error_log": TableSpec("error", S.ERROR_LOG, "Invalid rows and rows without an id", "error"),
-    "duplicate_log": TableSpec("error", S.DUPLICATE_LOG, "Later copies of a trip id"),
+    "duplicate_log": TableSpec("error", S.DUPLICATE_LOG, "Later copies of a trip id", None, True),
+    "quality_log": TableSpec("error", S.QUALITY_LOG, "Rows read and rule violations of each batch", None, True),
+    "zone_sums": TableSpec("gold", S.ZONE_SUMS, "Sums per zone pair and batch", None, True),
+    "hour_sums": TableSpec("gold", S.HOUR_SUMS, "Trips per local hour and batch", None, True),
+    "driver_sums": TableSpec("gold", S.DRIVER_SUMS, "Sums per driver and batch", None, True),
     "gold_zone_revenue": TableSpec("gold", S.GOLD_ZONE_REVENUE, "Revenue and averages per zone pair", "gold"),
     "gold_peak_hours": TableSpec("gold", S.GOLD_PEAK_HOURS, "Trips per local hour", "gold"),
     "gold_driver_perf": TableSpec("gold", S.GOLD_DRIVER_PERF, "Trips and average total per driver", "gold"),
@@ -36,9 +41,20 @@ TABLES = {
 }
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _ddl(kind: T.DataType) -> str:
+    """A type for SQL, with the names inside it quoted."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ", ".join(f"{quoted(f.name)}: {_ddl(f.dataType)}" for f in kind) + ">"
+    return kind.simpleString()
+
+
 def without_metadata(rows: DataFrame) -> DataFrame:
     """Drop column metadata. A stored watermark mark would make later streams wait for it in silence."""
-    return rows.select([F.col(f"`{name}`").alias(name, metadata={}) for name in rows.columns])
+    return rows.select([F.col(quoted(name)).alias(name, metadata={}) for name in rows.columns])
 
 
 class Layers:
@@ -64,7 +80,8 @@ class Layers:
         spec = TABLES[table]
         database = f"{self.prefix}_{spec.layer}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/{spec.layer}'")
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns or spec.schema)
+        wanted = columns or spec.schema
+        ddl = ", ".join(f"{quoted(f.name)} {_ddl(f.dataType)}" for f in wanted)
         if spec.by_batch:
             ddl += ", batch_id bigint"
         parts = [f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet"]
@@ -75,8 +92,19 @@ class Layers:
             parts.append(f"TBLPROPERTIES ('quality' = '{spec.quality}')")
         parts.append(f"LOCATION '{self.location(table)}'")
         self.spark.sql(" ".join(parts))
+        self._widen(table, wanted)
         return self.name(table)
 
+    def _widen(self, table: str, wanted: T.StructType) -> None:
+        """Add columns that a stored table lacks; a column of another type stops the stage with its name."""
+        stored = {f.name: f.dataType for f in self.spark.table(self._current(table)).schema}
+        other = [f.name for f in wanted if f.name in stored and stored[f.name].simpleString() != f.dataType.simpleString()]
+        if other:
+            raise ValueError(f"{table} is stored with another type of {', '.join(other)}; rebuild it to go on")
+        missing = [f"{quoted(f.name)} {_ddl(f.dataType)}" for f in wanted if f.name not in stored]
+        if missing:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({', '.join(missing)})")
+
     def _current(self, table: str) -> str:
         # Stages write from sessions of their own, so the file listing kept here may be old.
         name = self.name(table)
@@ -95,11 +123,19 @@ class Layers:
         without_metadata(rows).write.mode("append").saveAsTable(self.name(table))
 
     def overwrite(self, rows: DataFrame, table: str) -> None:
-        """Replace all rows but keep the comment and properties of the table."""
-        replace_rows(rows, self.name(table))
-
-
-def replace_rows(rows: DataFrame, name: str) -> None:
-    """Overwrite a stored table with ``rows``, matched by column name."""
-    columns = rows.sparkSession.table(name).columns
-    without_metadata(rows.select(*columns)).write.insertInto(name, overwrite=True)
+        """Replace all rows but keep the comment and properties of the table.
+
+        The rows are written to a new folder first, and the table then points there: readers see the old rows or
+        the new ones, and a job that fails leaves the old ones.
+        """
+        replace_rows(rows, self.name(table), self.location(table))
+
+
+def replace_rows(rows: DataFrame, name: str, location: str) -> None:
+    """Write ``rows``, matched by column name, to a new folder below ``location`` and switch the table to it."""
+    session = rows.sparkSession
+    folder = f"{location}_versions/{uuid.uuid4().hex}"
+    columns = [quoted(column) for column in session.table(name).columns]
+    without_metadata(rows.select(*columns)).write.parquet(folder)
+    session.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    session.catalog.refreshTable(name)

@@ -1,4 +1,4 @@
 from .exact import silver_stage
-from .stages import append_stage, bronze_stage, error_stage, finish, gold_stage, run_layers
+from .stages import append_stage, bronze_stage, error_stage, finish, gold_stage, gold_totals, run_layers
 
-__all__ = ["append_stage", "bronze_stage", "error_stage", "finish", "gold_stage", "run_layers", "silver_stage"]
+__all__ = ["append_stage", "bronze_stage", "error_stage", "finish", "gold_stage", "gold_totals", "run_layers", "silver_stage"]

@@ -1,10 +1,12 @@
 """Cleaned layer as a stream that takes in each trip id once, ever, and always its first copy.
 
-Ids taken in so far are kept in a table rather than in the state store. Per batch: store the ids
-that earlier batches do not have, then store the cleaned first copies of these ids. Both writes
-replace the partition of their own batch, and ids of the running batch are not looked at, so a
-batch that runs again after a crash gives the same rows. Only ids are held in memory between the
-two writes; the rows themselves are read again, which costs less than to keep them.
+Ids taken in so far are kept in a table rather than in the state store. Each batch makes one decision: its new ids are
+stored; the first copies of these become cleaned rows, and every other row with an id goes to the duplicate log.
+So the two never disagree, however a stream is paced, and no batch goes through earlier rows again. What the batch
+adds to the aggregates and how many rows broke each rule is stored beside it.
+
+Each write replaces the partition of its own batch, and ids of the running batch are not looked at, so a batch
+that runs again after a crash gives the same rows, sums and counts.
 
 Over several batches, the first copy is the one taken in first. That is the first by arrival time, as
 raw rows come in by arrival. If options pace the stream so that rows with one arrival time fall into
@@ -19,18 +21,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import expect_or_drop, first_copies, unseen
+from ..operators import checked_lookup, expect_or_drop, first_copies, unseen
+from ..plans import gold
+from ..plans.errors import duplicate_log
 from ..plans.silver import derive, prepare
 from ..schema import KEY, RULES
 from ..sources import Layers, without_metadata
+from ..sources.layers import quoted
 
 
 def _store_batch(rows: DataFrame, table: str, batch_id: int) -> None:
     """Replace the partition of one batch. The session is the stream's own, so its setting stays here."""
     session = rows.sparkSession
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    stored = session.table(table)
+    if rows.isEmpty():
+        # Overwriting with nothing would leave what an earlier attempt at this batch has written.
+        if not stored.filter(F.col("batch_id") == batch_id).isEmpty():
+            session.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
+        return
     rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    without_metadata(rows.select(*session.table(table).columns)).write.insertInto(table, overwrite=True)
+    without_metadata(rows.select(*map(quoted, stored.columns))).write.insertInto(table, overwrite=True)
+
+
+# Tables with what each batch adds to the aggregates.
+SUMS = {"zone_sums": gold.zone_sums, "hour_sums": gold.hour_sums, "driver_sums": gold.driver_sums}
+
+
+def _quality(rows: DataFrame) -> DataFrame:
+    """Rows of a batch that break the rules, and those without an answer."""
+    return rows.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count_if(~F.expr(rule)).alias(f"{name}_violations") for name, rule in RULES.items()],
+        F.count_if(F.col("trip_duration").isNull()).alias("unparsed_times"),
+        F.count_if(F.col("trip_duration") <= 0).alias("backwards_times"),
+    )
 
 
 def silver_stage(
@@ -41,31 +66,39 @@ def silver_stage(
     **options: str | int,
 ) -> StreamingQuery:
     """Start bringing the cleaned layer up to date with the raw layer; ``options`` pace the stream."""
+    if lookup is not None:
+        lookup = checked_lookup(lookup)
     trips = layers.stream("bronze_trips", **options)
     seen_ids = layers.create("seen_ids")
     silver = layers.create("silver_trips", derive(prepare(trips), lookup).schema)
+    duplicates = layers.create("duplicate_log", duplicate_log(layers.read("bronze_trips")).schema)
+    quality = layers.create("quality_log")
+    sums = {layers.create(table): per_batch for table, per_batch in SUMS.items()}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         earlier = session.table(seen_ids).filter(F.col("batch_id") < batch_id)
-        is_first_batch = earlier.isEmpty()
         ids = batch.select(KEY).filter(F.col(KEY).isNotNull()).distinct().persist()
         try:
-            _store_batch(ids if is_first_batch else unseen(ids, earlier), seen_ids, batch_id)
+            _store_batch(unseen(ids, earlier), seen_ids, batch_id)
+            # The ids of this batch only: what meets them below never grows with history.
+            new = session.table(seen_ids).filter(F.col("batch_id") == batch_id).select(KEY)
+            known = ids.join(new, KEY, "left_anti")
+            _store_batch(duplicate_log(batch, known), duplicates, batch_id)
         finally:
             ids.unpersist()
 
-        first = first_copies(prepare(batch))
-        if not is_first_batch:
-            # One row per id on both sides, and the rows already lie by id.
-            taken_in = session.table(seen_ids).filter(F.col("batch_id") == batch_id)
-            first = first.join(taken_in.select(KEY), KEY, "left_semi")
-        cleaned = expect_or_drop(derive(first, lookup), rules, on_null)
+        derived = derive(first_copies(prepare(batch)).join(new, KEY, "left_semi"), lookup)
+        _store_batch(_quality(derived), quality, batch_id)
+        cleaned = expect_or_drop(derived, rules, on_null)
         # After a crash the rows may be there already. Files that are whole stay as they are:
-        # rewritten under new names, the aggregates would count them again.
+        # rewritten under new names, a stream over them would count them again.
         stored = session.table(silver).filter(F.col("batch_id") == batch_id).count()
         if stored == 0 or stored != cleaned.count():
             _store_batch(cleaned, silver, batch_id)
+        rows = session.table(silver).filter(F.col("batch_id") == batch_id)
+        for table, per_batch in sums.items():
+            _store_batch(per_batch(rows), table, batch_id)
 
     return (
         trips.writeStream.foreachBatch(write_batch)

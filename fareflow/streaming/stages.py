@@ -46,9 +46,10 @@ def bronze_stage(layers: Layers, trips: DataFrame) -> StreamingQuery:
     return append_stage(trips, layers, "bronze_trips")
 
 
-def error_stage(layers: Layers, **options: str | int) -> StreamingQuery:
+def error_stage(layers: Layers, on_null: str = "keep", **options: str | int) -> StreamingQuery:
     """Log of invalid rows and rows without an id, next to the cleaned layer and from the same table."""
-    return append_stage(errors.error_log(layers.stream("bronze_trips", **options)), layers, "error_log")
+    rows = errors.error_log(layers.stream("bronze_trips", **options), on_null)
+    return append_stage(rows, layers, "error_log")
 
 
 # Aggregate tables and how each is computed, for streams and for batches.
@@ -63,12 +64,13 @@ def gold_stage(layers: Layers, table: str, **options: str | int) -> StreamingQue
     """Keep an aggregate over the cleaned layer and rewrite its table with every batch.
 
     There is no watermark, so groups stay open for good and the complete result is written. It is
-    as small as the number of zone pairs, hours or drivers.
+    as small as the number of zone pairs, hours or drivers. This reads the files of the cleaned layer once each; where
+    a batch of that layer may be replayed half-way, use ``gold_totals``, which counts nothing twice.
     """
-    name = layers.create(table)
+    name, location = layers.create(table), layers.location(table)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        replace_rows(batch, name)
+        replace_rows(batch, name, location)
 
     return (
         GOLD[table](layers.stream("silver_trips", **options))
@@ -80,16 +82,32 @@ def gold_stage(layers: Layers, table: str, **options: str | int) -> StreamingQue
     )
 
 
-def run_layers(layers: Layers, trips: DataFrame, lookup: DataFrame | None = None, on_null: str = "keep") -> None:
-    """Bring all tables up to date with the raw stream ``trips``."""
+# Aggregate tables, the sums they come from, and how.
+TOTALS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "gold_zone_revenue": ("zone_sums", gold.zone_revenue_of),
+    "gold_peak_hours": ("hour_sums", gold.peak_hours_of),
+    "gold_driver_perf": ("driver_sums", gold.driver_performance_of),
+}
+
+
+def gold_totals(layers: Layers, table: str) -> None:
+    """Rewrite an aggregate from the sums that each batch of the cleaned layer has stored.
+
+    No state is kept, and a batch that ran again has replaced its own sums, so none counts twice.
+    """
+    sums, total = TOTALS[table]
+    layers.create(table)
+    layers.overwrite(total(layers.read(sums)), table)
+
+
+def run_layers(
+    layers: Layers, trips: DataFrame, lookup: DataFrame | None = None, on_null: str = "keep", **options: str | int
+) -> None:
+    """Bring all tables up to date with the raw stream ``trips``; ``options`` pace the stages that read it."""
     finish(bronze_stage(layers, trips))
-    finish(silver_stage(layers, lookup=lookup, on_null=on_null), error_stage(layers))
-    aggregates = [gold_stage(layers, table) for table in GOLD]
-    try:
-        layers.create("duplicate_log")
-        layers.overwrite(errors.duplicate_log(layers.read("bronze_trips")), "duplicate_log")
-    finally:
-        finish(*aggregates)
+    finish(silver_stage(layers, lookup=lookup, on_null=on_null, **options), error_stage(layers, on_null, **options))
+    for table in TOTALS:
+        gold_totals(layers, table)
     layers.create("pipeline_log")
     stored = [layers.read(table) for table in ("silver_trips", "error_log", "duplicate_log")]
     layers.overwrite(pipeline_log(*stored), "pipeline_log")

@@ -1,5 +1,7 @@
 """Streams give what batches give, for one file or many, and after crashes and restarts."""
 
+import os
+
 import pytest
 from golden import TRIPS, frame, write_csv
 from pyspark.errors import AnalysisException, StreamingQueryException
@@ -10,7 +12,7 @@ from fareflow.plans import errors, gold
 from fareflow.plans.silver import silver_trips
 from fareflow.schema import BRONZE, MALFORMED, RAW
 from fareflow.sources import csv_schema, read_trips, stream_trips
-from fareflow.streaming import bronze_stage, error_stage, exact, finish, gold_stage, run_layers, silver_stage
+from fareflow.streaming import bronze_stage, error_stage, exact, finish, gold_stage, gold_totals, run_layers, silver_stage
 
 CLOCKS = ("processing_timestamp", "error_timestamp")
 
@@ -143,8 +145,71 @@ def test_a_partly_written_batch_is_replaced(spark, layers, tmp_path, monkeypatch
     with pytest.raises(StreamingQueryException):
         finish(silver_stage(layers))
     monkeypatch.setattr(exact, "_store_batch", store)
+    gold_totals(layers, "gold_peak_hours")
     finish(silver_stage(layers))
-    assert contents(layers.read("silver_trips")) == contents(silver_trips(layers.read("bronze_trips")))
+    expected = silver_trips(layers.read("bronze_trips"))
+    assert contents(layers.read("silver_trips")) == contents(expected)
+    gold_totals(layers, "gold_peak_hours")
+    assert contents(layers.read("gold_peak_hours")) == contents(gold.peak_hours(expected))
+
+
+@pytest.mark.parametrize("per_batch", [1, 100])
+def test_each_row_with_an_id_is_a_winner_or_a_duplicate(spark, layers, tmp_path, per_batch):
+    # Two files in one raw batch, taken apart by pacing.
+    write_csv(tmp_path / "in" / "z.csv", "copy_1", "bad_first", "backwards", "no_id_long")
+    write_csv(tmp_path / "in" / "a.csv", "copy_2", "good_later", "low_total", "copy_1")
+    ingest(spark, layers, tmp_path / "in")
+    finish(silver_stage(layers, on_null="keep", rules={}, maxFilesPerTrigger=per_batch))
+    rows = [(r.trip_id, r.source_file) for r in layers.read("bronze_trips").collect() if r.trip_id]
+    winners = [(r.trip_id, r.source_file) for r in layers.read("silver_trips").collect()]
+    copies = [(r.trip_id, r.source_file) for r in layers.read("duplicate_log").collect()]
+    assert sorted(winners + copies) == sorted(rows) and len({i for i, _ in winners}) == len(winners)
+
+
+def test_an_old_file_is_taken_in(spark, layers, tmp_path):
+    write_csv(tmp_path / "in" / "a.csv", "copy_1")
+    ingest(spark, layers, tmp_path / "in")
+    late = tmp_path / "in" / "b.csv"
+    write_csv(late, "backwards")
+    month_ago = late.stat().st_mtime - 30 * 86400
+    os.utime(late, (month_ago, month_ago))
+    ingest(spark, layers, tmp_path / "in", minute=1)
+    assert sorted(r.trip_id for r in layers.read("bronze_trips").collect()) == ["A", "C"]
+
+
+def test_a_later_column_reaches_the_tables(spark, layers, tmp_path):
+    write_csv(tmp_path / "in" / "a.csv", "copy_1")
+    ingest(spark, layers, tmp_path / "in")
+    finish(silver_stage(layers))
+    write_csv(tmp_path / "more" / "b.csv", "backwards", columns=[*RAW.names, "vendor"])
+    schema = csv_schema(spark, str(tmp_path / "more"))
+    rows = stream_trips(spark, str(tmp_path / "more"), schema)
+    table = layers.create("bronze_trips", rows.schema)
+    assert "vendor" in spark.table(table).columns
+    with pytest.raises(ValueError, match="trip_id"):
+        layers.create("bronze_trips", rows.withColumn("trip_id", F.lit(1)).schema)
+
+
+def test_odd_header_names_pass_through(spark, layers, tmp_path):
+    path = tmp_path / "in" / "a.csv"
+    write_csv(path, columns=[*RAW.names, "vendor id", "vendor.code"])
+    schema = csv_schema(spark, str(path.parent))
+    run_layers(layers, stream_trips(spark, str(path.parent), schema))
+    for table in ("bronze_trips", "silver_trips", "error_log", "duplicate_log"):
+        assert {"vendor id", "vendor.code"} <= set(layers.read(table).columns), table
+    bronze = layers.read("bronze_trips")
+    assert contents(layers.read("silver_trips")) == contents(silver_trips(bronze))
+
+
+def test_strict_rows_are_all_accounted_for(spark, layers, tmp_path):
+    write_csv(tmp_path / "in" / "a.csv")
+    run_layers(layers, stream_trips(spark, str(tmp_path / "in")), on_null="drop")
+    found = set()
+    for table in ("silver_trips", "error_log", "duplicate_log"):
+        found |= {r.trip_id for r in layers.read(table).collect()}
+    assert found == {row[0] for row in TRIPS.values()}
+    quality = layers.read("quality_log").first()
+    assert (quality.row_count, quality.valid_speed_violations) == (10, 3)
 
 
 def test_stored_columns_carry_no_watermark(spark, layers, tmp_path):

@@ -7,7 +7,7 @@ from golden import frame
 from pyspark.sql import functions as F
 
 from fareflow.functions import run_id, sanitize_numeric, trip_metrics, trip_times
-from fareflow.operators import count_violations, enrich_zone, expect_or_drop, observe_rules, zone_lookup
+from fareflow.operators import checked_lookup, count_violations, enrich_zone, expect_or_drop, observe_rules, zone_lookup
 from fareflow.plans import errors, gold
 from fareflow.plans.silver import derive, prepare, silver_trips
 
@@ -54,17 +54,16 @@ def test_zones(spark):
     assert rows["B"].zone_id is None and rows["J"].zone_id is None
 
 
-@pytest.mark.parametrize("max_rows", [100, 0])
-def test_given_lookup_is_the_same_with_and_without_broadcast(spark, max_rows):
+def test_given_lookup_is_the_same_as_the_fixed_one(spark):
     trips = frame(spark)
-    given = enrich_zone(trips, zone_lookup(spark), max_rows=max_rows)
+    given = enrich_zone(trips, checked_lookup(zone_lookup(spark)))
     assert sorted(map(str, given.collect())) == sorted(map(str, enrich_zone(trips).collect()))
 
 
 def test_lookup_names_have_to_be_unique(spark):
     twice = zone_lookup(spark).union(zone_lookup(spark))
     with pytest.raises(ValueError):
-        enrich_zone(frame(spark), twice)
+        checked_lookup(twice)
 
 
 def test_silver_keeps_first_copies_that_meet_the_rules(spark):
