@@ -13,7 +13,7 @@ import corpus_pipeline
 from .test_jaccard_join import plain
 from .test_mixing import plain_targets
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 def test_each_stage_against_a_plain_version(spark, tmp_path):
