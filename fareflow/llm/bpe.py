@@ -409,6 +409,11 @@ def load(path: str) -> Encoder:
     return Encoder(Vocabulary(ids, merges, specials))
 
 
+def forget() -> None:
+    """Drop what this process keeps: reading a vocabulary again takes less than a second."""
+    load.cache_clear()
+
+
 def _byte_places() -> dict[str, int]:
     """Characters that stand for bytes in such files: printable ones for themselves, others moved past 255."""
     printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]

@@ -42,6 +42,7 @@ def encode_texts(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
         f"`{id_col}` {kind}, ids binary" + ", decoded binary" * decoded,
         rows,
+        bpe.forget,
     )
 
 
@@ -54,4 +55,4 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFra
             yield {id_col: part["id"], "decoded": [encoder.decode(x or b"") for x in part["ids"]]}
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return map_rows(encoded.select(F.col(id_col).alias("id"), "ids"), f"`{id_col}` {kind}, decoded binary", rows)
+    return map_rows(encoded.select(F.col(id_col).alias("id"), "ids"), f"`{id_col}` {kind}, decoded binary", rows, bpe.forget)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import math
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +19,10 @@ from ..session import shared_folder
 
 # Rows that one step of a Python loop holds at once; texts may be long.
 SLICE_ROWS = 256
+# Bytes of rows that go to a worker at once; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+# Partial counts that one task adds up.
+FAN_IN = 16
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,9 +48,11 @@ def map_rows(
 ) -> DataFrame:
     """Run ``rows`` over each partition. It gets slices as lists by column and yields such lists.
 
-    Slices are small, so that a worker holds few texts at once. ``kept`` is called after each partition, to empty
-    what was kept for speed: workers live on, and later stages need their memory.
+    Slices are small, so that a worker holds few texts at once, and the session's Arrow batches are held to
+    ``BATCH_BYTES``. ``kept`` is called after each partition, to empty what was kept for speed: workers live
+    on, and later stages need their memory.
     """
+    _bound_batches(df.sparkSession)
     kind = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(kind)
 
@@ -55,10 +66,63 @@ def map_rows(
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
         if kept:
             kept()
+        _release()
 
     return df.mapInArrow(batches, kind)
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Spark's own limit is a number of rows, which may be of any length. A smaller limit, given in bytes, is left alone."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(setting).rstrip("b")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(setting, str(BATCH_BYTES))
+
+
+def _release() -> None:
+    """Give free memory of this worker back to the system; allocators would keep it for as long as the worker lives."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tree_sum(
+    df: DataFrame, shape: tuple[int, ...], count: Callable[[Iterator[dict[str, list]], np.ndarray], None], kept: Callable[[], None] | None = None
+) -> np.ndarray:
+    """Counts of a fixed size over all rows. ``count`` adds the rows of a partition to an array.
+
+    Partial counts are kept in the shared folder and added up ``FAN_IN`` at a time; only the last one comes to
+    the driver. Counts stay at the largest 32-bit number once they get there.
+    """
+
+    def packed(counts: np.ndarray) -> dict[str, list]:
+        return {"counts": [zlib.compress(np.minimum(counts, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)]}
+
+    def unpacked(data: bytes) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(data), np.uint32).reshape(shape)
+
+    def leaves(slices: Iterator[dict]) -> Iterator[dict]:
+        counts = np.zeros(shape, np.uint32)
+        count(slices, counts)
+        if counts.any():
+            yield packed(counts)
+
+    def add(slices: Iterator[dict]) -> Iterator[dict]:
+        total = None
+        for part in slices:
+            for data in part["counts"]:
+                total = unpacked(data).astype(np.uint64) if total is None else total + unpacked(data)
+        if total is not None:
+            yield packed(total)
+
+    partial = checkpointed(map_rows(df, "counts binary", leaves, kept))
+    while (parts := partial.rdd.getNumPartitions()) > 1:
+        partial = checkpointed(map_rows(partial.coalesce(math.ceil(parts / FAN_IN)), "counts binary", add))
+    last = partial.first()
+    return unpacked(bytes(last[0])) if last else np.zeros(shape, np.uint32)
+
+
 def row_keys(df: DataFrame) -> DataFrame:
     """Add ``__file`` and ``__row``, which tell rows apart even where their ids repeat or are missing.
 

@@ -23,7 +23,6 @@ rows; columns other than id and text are not read.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, dense, map_rows, restrict, row_keys
+from .common import checkpointed, dense, map_rows, restrict, row_keys, tree_sum
 from .components import components
 
 ROW = ["__file", "__row"]
@@ -80,25 +79,14 @@ def prefix_size(size: int, percent: int) -> int:
 
 
 def _counts(docs: DataFrame, n: int) -> np.ndarray:
-    """In how many texts a token occurs, added up by slot. Partial counts meet in a tree."""
+    """In how many texts a token occurs, added up by slot."""
 
-    def rows(slices: Iterator[dict]) -> Iterator[dict]:
-        counts = np.zeros(1 << SLOT_BITS, np.uint32)
+    def count(slices: Iterator[dict], counts: np.ndarray) -> None:
         for part in slices:
-            tokens = [shingles(text, n) for text in part["text"]]
-            slots = np.concatenate(tokens) >> np.uint64(64 - SLOT_BITS)
-            counts += np.bincount(slots.astype(np.int64), minlength=len(counts)).astype(np.uint32)
-        yield {"counts": [zlib.compress(counts.tobytes(), 1)]}
-
-    def add(x: bytes, y: bytes) -> bytes:
-        a, b = (np.frombuffer(zlib.decompress(v), np.uint32) for v in (x, y))
-        return zlib.compress(np.minimum(a.astype(np.uint64) + b, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
-
-    partial = map_rows(docs.select("text"), "counts binary", rows, _forget).rdd.map(lambda row: bytes(row[0]))
-    if not partial.getNumPartitions():
-        return np.zeros(1 << SLOT_BITS, np.uint32)
-    zero = zlib.compress(np.zeros(1 << SLOT_BITS, np.uint32).tobytes(), 1)
-    return np.frombuffer(zlib.decompress(partial.treeAggregate(zero, add, add, depth=4)), np.uint32)
+            for text in part["text"]:
+                np.add.at(counts, (shingles(text, n) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
+
+    return tree_sum(docs.select("text"), (1 << SLOT_BITS,), count, _forget)
 
 
 def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:

@@ -54,6 +54,7 @@ def count_tokens(docs: DataFrame, path: str, budget: int, id_col: str = "doc_id"
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
         f"`{id_col}` {kind}, n_bytes long, n_tokens long, cut_bytes long",
         rows,
+        bpe.forget,
     )
 
 
@@ -83,4 +84,5 @@ def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
         f"`{id_col}` {kind}, from_byte long, counts array<int>",
         rows,
+        bpe.forget,
     )

@@ -16,7 +16,6 @@ rows; only id and text are read, and no other column has a part in a score.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, row_keys
+from .common import map_rows, row_keys, tree_sum
 
 TRAIN_ROWS = 20_000
 FEATURE_BITS = 22
@@ -119,30 +118,17 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, tr
 
 
 def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """How many texts of either label have a feature."""
+    """How many texts of either label have a feature, and how many there are."""
+    width = 1 << FEATURE_BITS
 
-    def count(slices: Iterator[dict]) -> Iterator[dict]:
-        counts = np.zeros((2, 1 << FEATURE_BITS), np.uint32)
-        texts = [0, 0]
+    def count(slices: Iterator[dict], counts: np.ndarray) -> None:
         for part in slices:
             for text, label in zip(part["text"], part["label"], strict=True):
                 counts[int(label), features(text)] += 1
-                texts[int(label)] += 1
-        if sum(texts):
-            yield {"counts": [zlib.compress(counts.tobytes(), 1)], "clean": [texts[0]], "toxic": [texts[1]]}
-
-    def add(x: tuple | None, y: tuple | None) -> tuple | None:
-        if x is None or y is None:
-            return x or y
-        total = sum(np.frombuffer(zlib.decompress(v[0]), np.uint32) for v in (x, y))
-        return zlib.compress(total.tobytes(), 1), x[1] + y[1], x[2] + y[2]
-
-    partial = map_rows(rows, "counts binary, clean long, toxic long", count, _forget).rdd.map(lambda r: (bytes(r[0]), r[1], r[2]))
-    total = partial.treeAggregate(None, add, add, depth=3) if partial.getNumPartitions() else None
-    if total is None:
-        return np.zeros(1 << FEATURE_BITS), np.zeros(1 << FEATURE_BITS), 0, 0
-    clean, toxic = np.frombuffer(zlib.decompress(total[0]), np.uint32).reshape(2, -1)
-    return clean.astype(np.float64), toxic.astype(np.float64), total[1], total[2]
+                counts[int(label), width] += 1
+
+    clean, toxic = tree_sum(rows, (2, width + 1), count, _forget).astype(np.float64)
+    return clean[:width], toxic[:width], int(clean[width]), int(toxic[width])
 
 
 def _choose(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
