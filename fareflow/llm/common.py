@@ -123,21 +123,28 @@ def tree_sum(
     return unpacked(bytes(last[0])) if last else np.zeros(shape, np.uint32)
 
 
+# Names of the columns that tell rows apart, and the mark by which they are known from a caller's own columns.
+ROW = ["__file", "__row"]
+_MARK = {"fareflow_row_key": True}
+
+
 def row_keys(df: DataFrame) -> DataFrame:
     """Add ``__file`` and ``__row``, which tell rows apart even where their ids repeat or are missing.
 
-    Names with two leading underscores are for such keys; a frame that has both columns keeps them.
-    Stored tables have such a key of their own, which is the same on every scan. Other frames are
-    kept first, because what they compute could come in another order the next time.
+    A frame that comes from here keeps its keys, known by a mark in the schema; a caller's own columns of these
+    names are replaced. Stored tables have such a key of their own, which is the same on every scan. Other frames
+    are kept first, because what they compute could come in another order the next time.
     """
     from pyspark.errors import AnalysisException
 
-    if {"__file", "__row"} <= set(df.columns):
+    if all(name in df.columns and df.schema[name].metadata == _MARK for name in ROW):
         return df
+    marked = {name: F.col(name).alias(name, metadata=_MARK) for name in ROW}
     try:
-        return df.withColumns({"__file": F.xxhash64("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
+        return df.withColumns({"__file": F.xxhash64("_metadata.file_path"), "__row": F.col("_metadata.row_index")}).withColumns(marked)
     except AnalysisException:
-        return checkpointed(df.withColumns({"__file": F.lit(0).cast("long"), "__row": F.monotonically_increasing_id()}))
+        kept = checkpointed(df.withColumns({"__file": F.lit(0).cast("long"), "__row": F.monotonically_increasing_id()}))
+        return kept.withColumns(marked)
 
 
 # Rows of keys, 16 bytes or so each, that are still sent to every task; beyond it rows are shuffled to their keys.
