@@ -41,6 +41,7 @@ PATTERNS = {
 }
 # What a text must contain for a pattern to be tried.
 NEEDS = {"email": "@", "phone": "+", "ssn": "-", "ip": "."}
+GATES = {"card": "[0-9][ -]?[0-9]", "shortcard": "[0-9][ -]?[0-9]", "iban": "[A-Z]{2}[0-9]{2}"}
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "shortcard": 0.4, "ssn": 0.4}
 WORDS = {
     "email": "e-?mail|contact|write|address",
@@ -67,7 +68,7 @@ def _with_matches(df: DataFrame, kind: str) -> DataFrame:
     """
     text, pattern = F.col("__text"), F.lit(PATTERNS[kind])
     none = F.array().cast("array<string>")
-    tried = text.contains(NEEDS[kind]) if kind in NEEDS else text.rlike("[0-9]{2}" if kind != "iban" else "[A-Z]{2}[0-9]{2}")
+    tried = text.contains(NEEDS[kind]) if kind in NEEDS else text.rlike(GATES[kind])
     df = df.withColumn("__found", F.when(tried, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(none))
     some = F.size("__found") > 0
     gaps = F.transform(F.split(text, PATTERNS[kind], -1), lambda gap: F.length(gap))

@@ -21,6 +21,8 @@ TEXTS = [
     "card 378282246310005 but number 378282246310005",
     "my social security number is 078-05-1120; part 078-05-1120x",
     "a@b.c" * 400 + " 9" * 30000,
+    "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1",
+    "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1 and 4 1-1 1-1 1-1 1-1 1-1 1-1 1-1 1",
     ".".join(["1"] * 5000) + "@" + ".".join(["a"] * 20000),
 ]
 
