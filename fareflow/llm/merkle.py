@@ -210,10 +210,10 @@ def build_manifest(rows: DataFrame, order: Sequence[str], payload: dict[str, str
 _STEPS = "array<struct<left:string,right:string>>"
 
 
-def _with_ways(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _with_ways(levels: list[DataFrame], tops: DataFrame | None = None) -> DataFrame:
     """The lowest blocks with ``above``, the steps from their root to the end of ``tops``, and the ``subroot`` of their tree.
 
-    ``tops`` has the ``key`` of each tree and the steps above it.
+    ``tops`` has the ``key`` of each tree and the steps above it; without it, there are none.
     """
 
     def down(slices: Iterator[dict]) -> Iterator[dict]:
@@ -227,7 +227,8 @@ def _with_ways(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
     ways = None
     for place in range(len(levels) - 1, -1, -1):
         blocks = levels[place]
-        held = blocks.filter(F.col("total") <= BLOCK).join(tops, "key").withColumn("subroot", F.lower(F.hex("root")))
+        held = blocks.filter(F.col("total") <= BLOCK).withColumn("subroot", F.lower(F.hex("root")))
+        held = held.withColumn("above", F.array().cast(_STEPS)) if tops is None else held.join(tops, "key")
         if ways is not None:
             held = held.unionByName(blocks.filter(F.col("total") > BLOCK).join(ways, ["key", "block"]))
         if place:
@@ -245,8 +246,7 @@ def lowest_blocks(manifest: Manifest) -> DataFrame:
                 laid = block_levels(nodes, height, n)
                 yield {"key": held, "above": [[{"left": a, "right": b} for a, b in siblings(laid, i)] + above for i in range(n)]}
 
-    start = manifest.top[0].sparkSession.range(1).select(F.lit("").alias("key"), F.array().cast(_STEPS).alias("above"))
-    top = _with_ways(manifest.top, start).select("n", "levels", "nodes", "name", "above")
+    top = _with_ways(manifest.top).select("n", "levels", "nodes", "name", "above")
     return _with_ways(manifest.levels, checkpointed(map_rows(top, f"key string, above {_STEPS}", names)))
 
 
