@@ -6,6 +6,7 @@ whether dropping rules keep it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -24,9 +25,18 @@ def count_violations(rows: DataFrame, rules: Mapping[str, str] = RULES) -> DataF
     return rows.agg(*_counts(rules))
 
 
-def observe_rules(rows: DataFrame, observed: Observation | str, rules: Mapping[str, str] = RULES) -> DataFrame:
-    """Warn only: pass all rows on and count violations on the way, in batch or in a stream."""
-    return rows.observe(observed, *_counts(rules))
+def observe_rules(
+    rows: DataFrame,
+    observed: Observation | str,
+    rules: Mapping[str, str] = RULES,
+    more: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Warn only: pass all rows on and count violations on the way, in batch or in a stream.
+
+    ``more`` holds conditions that are no rules; rows that meet them are counted too.
+    """
+    others = [F.count_if(F.expr(condition)).alias(name) for name, condition in (more or {}).items()]
+    return rows.observe(observed, *_counts(rules), *others)
 
 
 def expect_or_drop(
@@ -37,13 +47,13 @@ def expect_or_drop(
 ) -> DataFrame:
     """Keep rows that meet all rules; ``on_null`` is "keep" or "drop" for rules without an answer.
 
-    With ``observed``, violations are counted on the way. Spark then also evaluates the columns
-    that the rules read just once, as it does not move a filter below a count of its input.
+    Violations are counted on the way; ``observed`` receives them. Without it the counts have a name of their own that
+    nobody reads: Spark does not move a filter below a count of its input, so the columns that the rules
+    read are evaluated once and not again in the filter.
     """
     if on_null not in ("keep", "drop"):
         raise ValueError(f"on_null is 'keep' or 'drop', not {on_null!r}")
-    if observed is not None:
-        rows = observe_rules(rows, observed, rules)
+    rows = observe_rules(rows, f"rules-{uuid.uuid4().hex}" if observed is None else observed, rules)
     for rule in rules.values():
         rows = rows.filter(F.coalesce(F.expr(rule), F.lit(on_null == "keep")))
     return rows

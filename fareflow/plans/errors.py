@@ -66,21 +66,39 @@ def error_log(bronze: DataFrame, on_null: str = "keep") -> DataFrame:
     )
 
 
-def duplicate_log(bronze: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+_TEXTS = ("pickup_datetime", "dropoff_datetime")
+
+
+def _instants() -> dict[str, Column]:
+    return {f"_{name}": parse_trip_time(F.col(name)) for name in _TEXTS}
+
+
+def _first_order(rows: DataFrame) -> list[str]:
+    """The order that the cleaned layer uses: times count as instants; their text only breaks ties."""
+    return [f"_{name[1:-1]}" if name[1:-1] in _TEXTS else name for name in copy_order(rows)] + list(_TEXTS)
+
+
+def batch_firsts(bronze: DataFrame) -> DataFrame:
+    """The first copy of each id, as typed rows with trip times both as text and, beside it, as instants."""
+    rows = sanitize_numeric(bronze.drop(MALFORMED))
+    return first_copies(rows.withColumns(_instants()), order=_first_order(rows))
+
+
+def prepared_firsts(firsts: DataFrame) -> DataFrame:
+    """The same rows as ``prepare`` gives them."""
+    return firsts.withColumns({name: F.col(f"_{name}") for name in _TEXTS}).drop(*_instants())
+
+
+def duplicate_log(bronze: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Every copy of a trip id but the first, in the order that the cleaned layer uses.
 
-    For a batch, ``earlier`` holds the ids that batches before it have taken in: of these, the first copy
-    in the batch is a later one too.
+    For a batch, ``known`` holds those of its ``batch_firsts`` whose id batches before it have taken in: these are later
+    copies too.
     """
     rows = sanitize_numeric(bronze.drop(MALFORMED))
-    # Same order as the cleaned layer, so times count as instants; their text only breaks ties.
-    texts = ["pickup_datetime", "dropoff_datetime"]
-    instants = {f"_{name}": parse_trip_time(F.col(name)) for name in texts}
-    order = [f"_{name[1:-1]}" if name[1:-1] in texts else name for name in copy_order(rows)] + texts
-    copies = later_copies(rows, order=order, computed=instants)
-    if earlier is not None:
-        first = first_copies(rows.withColumns(instants), order=order).drop(*instants)
-        copies = copies.unionByName(first.join(earlier.select(KEY), KEY, "left_semi").select(*map(quoted, rows.columns)))
+    copies = later_copies(rows, order=_first_order(rows), computed=_instants())
+    if known is not None:
+        copies = copies.unionByName(known.select(*map(quoted, rows.columns)))
     return copies.withColumns(
         {
             "error_reason": F.lit("Duplicate trip_id"),

@@ -109,4 +109,4 @@ RUN_LOG = _struct(
     "EndTimeIST timestamp, ErrorMessage string"
 )
 
-SEEN_IDS = _struct("trip_id string")
+SEEN_IDS = _struct("trip_id string, bucket integer")

@@ -19,13 +19,19 @@ class TableSpec:
     comment: str
     quality: str | None = None
     by_batch: bool = False
+    # Columns that the table is partitioned by before the batch, and options of its files.
+    parts: tuple[str, ...] = ()
+    options: tuple[tuple[str, str], ...] = ()
 
 
 TABLES = {
     "bronze_trips": TableSpec("bronze", S.BRONZE, "Raw trips with arrival time and source file", "bronze"),
     "zone_lookup": TableSpec("silver", S.ZONE_LOOKUP, "Zones for enrichment"),
     "silver_trips": TableSpec("silver", S.SILVER, "Cleaned, checked and de-duplicated trips", "silver", True),
-    "seen_ids": TableSpec("silver", S.SEEN_IDS, "Trip ids that the cleaned layer has taken in", None, True),
+    "seen_ids": TableSpec(
+        "silver", S.SEEN_IDS, "Trip ids that the cleaned layer has taken in", None, True,
+        ("bucket",), (("parquet.bloom.filter.enabled#trip_id", "true"),),
+    ),
     "error_log": TableSpec("error", S.ERROR_LOG, "Invalid rows and rows without an id", "error"),
     "duplicate_log": TableSpec("error", S.DUPLICATE_LOG, "Later copies of a trip id", None, True),
     "quality_log": TableSpec("error", S.QUALITY_LOG, "Rows read and rule violations of each batch", None, True),
@@ -85,8 +91,10 @@ class Layers:
         if spec.by_batch:
             ddl += ", batch_id bigint"
         parts = [f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet"]
-        if spec.by_batch:
-            parts.append("PARTITIONED BY (batch_id)")
+        if spec.options:
+            parts.append("OPTIONS (" + ", ".join(f"'{name}' = '{value}'" for name, value in spec.options) + ")")
+        if partitions := [*spec.parts, *["batch_id"] * spec.by_batch]:
+            parts.append(f"PARTITIONED BY ({', '.join(partitions)})")
         parts.append(f"COMMENT '{spec.comment}'")
         if spec.quality:
             parts.append(f"TBLPROPERTIES ('quality' = '{spec.quality}')")
@@ -126,16 +134,31 @@ class Layers:
         """Replace all rows but keep the comment and properties of the table.
 
         The rows are written to a new folder first, and the table then points there: readers see the old rows or
-        the new ones, and a job that fails leaves the old ones.
+        the new ones, and a job that fails leaves the old ones. The rows before stay for readers that have begun; older
+        ones are removed. Tables in partitions by batch belong to a stage, which replaces its own partitions.
         """
+        if TABLES[table].by_batch:
+            raise ValueError(f"{table} is kept by batch; its stage replaces the partitions of a batch")
         replace_rows(rows, self.name(table), self.location(table))
 
 
 def replace_rows(rows: DataFrame, name: str, location: str) -> None:
     """Write ``rows``, matched by column name, to a new folder below ``location`` and switch the table to it."""
     session = rows.sparkSession
+    before = session.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first().data_type
     folder = f"{location}_versions/{uuid.uuid4().hex}"
     columns = [quoted(column) for column in session.table(name).columns]
     without_metadata(rows.select(*columns)).write.parquet(folder)
     session.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
     session.catalog.refreshTable(name)
+    _keep_only(session, f"{location}_versions", {folder, before})
+
+
+def _keep_only(session: SparkSession, parent: str, kept: set[str]) -> None:
+    """Remove the folders of versions that no table or reader needs any more."""
+    path = session._jvm.org.apache.hadoop.fs.Path(parent)
+    files = path.getFileSystem(session._jsc.hadoopConfiguration())
+    names = {folder.rstrip("/").rsplit("/", 1)[-1] for folder in kept}
+    for version in files.listStatus(path):
+        if version.isDirectory() and version.getPath().getName() not in names:
+            files.delete(version.getPath(), True)

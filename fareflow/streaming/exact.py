@@ -1,9 +1,11 @@
 """Cleaned layer as a stream that takes in each trip id once, ever, and always its first copy.
 
-Ids taken in so far are kept in a table rather than in the state store. Each batch makes one decision: its new ids are
-stored; the first copies of these become cleaned rows, and every other row with an id goes to the duplicate log.
-So the two never disagree, however a stream is paced, and no batch goes through earlier rows again. What the batch
-adds to the aggregates and how many rows broke each rule is stored beside it.
+Ids taken in so far are kept in a table rather than in the state store: an index in buckets, of which a batch opens those
+that can hold its ids. Each batch makes one decision, and stores what it rests on before anything else: the first copy in
+the batch of each id. Ids that the index lacks are new and are stored; the first copies of these become cleaned
+rows, and every other row with an id goes to the duplicate log. So the two never disagree, however a stream is
+paced, and no batch goes through earlier rows again. All tables of a batch come from the stored first copies and cleaned
+rows. How many rows broke each rule is counted while the cleaned rows are written, and so is the size of each write.
 
 Each write replaces the partition of its own batch, and ids of the running batch are not looked at, so a batch
 that runs again after a crash gives the same rows, sums and counts.
@@ -17,45 +19,65 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import checked_lookup, expect_or_drop, first_copies, unseen
+from ..operators import checked_lookup, expect_or_drop, observe_rules
 from ..plans import gold
-from ..plans.errors import duplicate_log
+from ..plans.errors import batch_firsts, duplicate_log, prepared_firsts
 from ..plans.silver import derive, prepare
-from ..schema import KEY, RULES
+from ..schema import KEY, QUALITY_LOG, RULES
 from ..sources import Layers, without_metadata
 from ..sources.layers import quoted
+from .seen import bucket_of, earlier_ids, in_buckets, touched_buckets
 
 
-def _store_batch(rows: DataFrame, table: str, batch_id: int) -> None:
-    """Replace the partition of one batch. The session is the stream's own, so its setting stays here."""
+def _store_batch(rows: DataFrame, table: str, batch_id: int) -> int:
+    """Replace the partition of one batch; gives the number of its rows, which is counted by the write itself.
+
+    The session is the stream's own, so its setting stays here.
+    """
     session = rows.sparkSession
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    stored = session.table(table)
-    if rows.isEmpty():
-        # Overwriting with nothing would leave what an earlier attempt at this batch has written.
-        if not stored.filter(F.col("batch_id") == batch_id).isEmpty():
-            session.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
-        return
-    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    without_metadata(rows.select(*map(quoted, stored.columns))).write.insertInto(table, overwrite=True)
+    columns = session.table(table).columns
+    rows = without_metadata(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*map(quoted, columns)))
+    written = Observation()
+    rows.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=True)
+    if not written.get["n"]:
+        # Overwriting with nothing leaves what an earlier attempt at this batch has written.
+        session.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
+    return written.get["n"]
 
 
 # Tables with what each batch adds to the aggregates.
 SUMS = {"zone_sums": gold.zone_sums, "hour_sums": gold.hour_sums, "driver_sums": gold.driver_sums}
 
+# What the quality log counts beside the rules.
+_OTHERS = {"unparsed_times": "trip_duration IS NULL", "backwards_times": "trip_duration <= 0"}
 
-def _quality(rows: DataFrame) -> DataFrame:
-    """Rows of a batch that break the rules, and those without an answer."""
-    return rows.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(~F.expr(rule)).alias(f"{name}_violations") for name, rule in RULES.items()],
-        F.count_if(F.col("trip_duration").isNull()).alias("unparsed_times"),
-        F.count_if(F.col("trip_duration") <= 0).alias("backwards_times"),
-    )
+
+def _is_stored(session, table: str, batch_id: int) -> bool:
+    return not session.sql(f"SHOW PARTITIONS {table} PARTITION (batch_id = {batch_id})").isEmpty()
+
+
+def _store_cleaned(derived: DataFrame, rules: Mapping[str, str], on_null: str, table: str, batch_id: int) -> Mapping[str, int]:
+    """Store the rows of a batch that meet the rules; gives what was counted on the way.
+
+    After a crash the rows may be there already. Files that are whole stay as they are: rewritten under new names, a
+    stream over them would count them again.
+    """
+    session = derived.sparkSession
+    quality = Observation()
+    observed = observe_rules(derived, quality, RULES, _OTHERS)
+    cleaned = expect_or_drop(observed, rules, on_null)
+    if _is_stored(session, table, batch_id):
+        wanted = Observation()
+        cleaned.observe(wanted, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+        if session.table(table).filter(F.col("batch_id") == batch_id).count() == wanted.get["n"]:
+            return quality.get
+    _store_batch(cleaned, table, batch_id)
+    return quality.get
 
 
 def silver_stage(
@@ -74,28 +96,27 @@ def silver_stage(
     duplicates = layers.create("duplicate_log", duplicate_log(layers.read("bronze_trips")).schema)
     quality = layers.create("quality_log")
     sums = {layers.create(table): per_batch for table, per_batch in SUMS.items()}
+    staging = f"{layers.checkpoint('silver_trips')}-staging"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        earlier = session.table(seen_ids).filter(F.col("batch_id") < batch_id)
-        ids = batch.select(KEY).filter(F.col(KEY).isNotNull()).distinct().persist()
-        try:
-            _store_batch(unseen(ids, earlier), seen_ids, batch_id)
-            # The ids of this batch only: what meets them below never grows with history.
-            new = session.table(seen_ids).filter(F.col("batch_id") == batch_id).select(KEY)
-            known = ids.join(new, KEY, "left_anti")
-            _store_batch(duplicate_log(batch, known), duplicates, batch_id)
-        finally:
-            ids.unpersist()
-
-        derived = derive(first_copies(prepare(batch)).join(new, KEY, "left_semi"), lookup)
-        _store_batch(_quality(derived), quality, batch_id)
-        cleaned = expect_or_drop(derived, rules, on_null)
-        # After a crash the rows may be there already. Files that are whole stay as they are:
-        # rewritten under new names, a stream over them would count them again.
-        stored = session.table(silver).filter(F.col("batch_id") == batch_id).count()
-        if stored == 0 or stored != cleaned.count():
-            _store_batch(cleaned, silver, batch_id)
+        buckets = Observation()
+        firsts = batch_firsts(batch).withColumn("bucket", bucket_of(KEY)).observe(buckets, *touched_buckets())
+        without_metadata(firsts).write.mode("overwrite").parquet(staging)
+        firsts = session.read.schema(firsts.schema).parquet(staging)
+        ids = firsts.select(KEY, "bucket")
+        seen = earlier_ids(session.table(seen_ids), ids, buckets.get, batch_id)
+        _store_batch(in_buckets(ids if seen is None else ids.join(seen, KEY, "left_anti")), seen_ids, batch_id)
+        # The ids of this batch only: what meets them below never grows with history.
+        new = session.table(seen_ids).filter(F.col("batch_id") == batch_id).select(KEY)
+        known = None if seen is None else firsts.join(new, KEY, "left_anti")
+        _store_batch(duplicate_log(batch, known), duplicates, batch_id)
+
+        winners = firsts if seen is None else firsts.join(new, KEY, "left_semi")
+        derived = derive(prepared_firsts(winners.drop("bucket")), lookup)
+        counted = _store_cleaned(derived, rules, on_null, silver, batch_id)
+        entry = session.range(0, 1, 1, 1).select(*[F.lit(counted[name]).cast("long").alias(name) for name in QUALITY_LOG.names])
+        _store_batch(entry, quality, batch_id)
         rows = session.table(silver).filter(F.col("batch_id") == batch_id)
         for table, per_batch in sums.items():
             _store_batch(per_batch(rows), table, batch_id)

@@ -1,7 +1,10 @@
 """Tables, their properties, and the logs about runs."""
 
+import os
+
 import pytest
 from golden import frame
+from pyspark.sql import functions as F
 
 from fareflow.operators import zone_lookup
 from fareflow.plans import errors
@@ -60,14 +63,26 @@ def test_run_log(spark, layers):
 
 def fill(spark, layers):
     trips = frame(spark)
-    for table, rows in (("error_log", errors.error_log(trips)), ("duplicate_log", errors.duplicate_log(trips))):
-        layers.create(table)
-        layers.overwrite(rows, table)
-    from pyspark.sql import functions as F
-
-    name = layers.create("silver_trips")
-    rows = silver_trips(trips).withColumn("batch_id", F.lit(0))
-    rows.select(*spark.table(name).columns).write.insertInto(name)
+    layers.create("error_log")
+    layers.overwrite(errors.error_log(trips), "error_log")
+    for table, rows in (("duplicate_log", errors.duplicate_log(trips)), ("silver_trips", silver_trips(trips))):
+        name = layers.create(table)
+        rows.withColumn("batch_id", F.lit(0)).select(*spark.table(name).columns).write.insertInto(name)
+
+
+def test_tables_by_batch_are_not_overwritten_as_a_whole(layers):
+    layers.create("duplicate_log")
+    with pytest.raises(ValueError, match="duplicate_log"):
+        layers.overwrite(layers.read("duplicate_log"), "duplicate_log")
+
+
+def test_old_versions_are_removed_but_the_one_before(spark, layers):
+    name = layers.create("gold_peak_hours")
+    for hour in range(5):
+        before = spark.table(name).inputFiles()
+        layers.overwrite(spark.sql(f"SELECT {hour} AS pickup_hour, 1L AS trips, current_timestamp() AS processing_timestamp"), "gold_peak_hours")
+    assert len(os.listdir(layers.location("gold_peak_hours") + "_versions")) == 2
+    assert before and all(os.path.exists(path.removeprefix("file://")) for path in before)
 
 
 def test_layer_counts_are_appended(spark, layers):
