@@ -8,15 +8,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import revenue_fields, sanitize_numeric, trip_metrics, trip_times
 from ..operators import count_violations, enrich_zone, expect_or_drop, first_copies, stream_first_copies
-from ..schema import RAW, SANITIZED
+from ..schema import MALFORMED, RAW, SANITIZED
 from ..session import shared_folder, use_utc
-from ..sources import Layers, csv_schema, raw_trips, stream_table, stream_trips
-from ..streaming import bronze_stage, error_stage, finish, gold_stage, gold_totals, run_layers, silver_stage
+from ..sources import Layers, csv_schema, file_ledger, raw_trips, stream_table, stream_trips
+from ..streaming import (
+    bronze_stage,
+    error_stage,
+    finish,
+    follow,
+    gold_stage,
+    gold_totals,
+    keyed_stage,
+    late_trips,
+    read_keyed,
+    rescued_stage,
+    run_layers,
+    silver_stage,
+    window_stage,
+)
 from . import errors, gold
 from .logs import append_layer_counts, pipeline_log, tracked_run
 from .silver import derive, prepare, silver_trips
@@ -25,6 +39,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Trips that arrive before this day come in the first run of a stream.
 _CUT = "1995-06-01"
+_LATER_CUT = "1997-01-01"
 
 _COUNTS = ("Status", "ProcessedRecordCount", "InvalidAnomalyCount", "DuplicateCount", "FileName")
 
@@ -172,20 +187,32 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _streamed(spark: SparkSession, folder: str) -> Layers:
-    """The raw and the cleaned layer, filled by streams in two runs: earlier arrivals, then all later ones."""
+def _in_runs(spark: SparkSession, folder: str, runs: list[Column], *after: Callable[[Layers], None]) -> Layers:
+    """The raw and the cleaned layer, filled by streams in several runs of the rows that each condition picks.
+
+    What comes ``after`` is called after each run.
+    """
     layers = _layers(spark)
     rows = _lineitem(spark, folder)
     landing = f"{layers.root}/landing"
-    # Equal arrival times stay in one run.
-    early = F.coalesce(F.col("l_shipdate") < F.lit(_CUT).cast("timestamp_ntz"), F.lit(False))
-    for part in (early, ~early):
+    for part in runs:
         rows.filter(part).write.mode("append").parquet(f"{landing}/lineitem.parquet")
         finish(bronze_stage(layers, raw_trips(stream_table(spark, landing, "lineitem", rows.schema))))
         finish(silver_stage(layers))
+        for step in after:
+            step(layers)
     return layers
 
 
+def _before(day: str) -> Column:
+    return F.coalesce(F.col("l_shipdate") < F.lit(day).cast("timestamp_ntz"), F.lit(False))
+
+
+def _streamed(spark: SparkSession, folder: str, *after: Callable[[Layers], None]) -> Layers:
+    """Two runs: earlier arrivals, then all later ones. Equal arrival times stay in one run."""
+    return _in_runs(spark, folder, [_before(_CUT), ~_before(_CUT)], *after)
+
+
 def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     layers = _layers(spark)
     finish(bronze_stage(layers, _raw_stream(spark, folder)))
@@ -212,6 +239,83 @@ def _stream_gold(table: str) -> Query:
     return query
 
 
+def stream_zone_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed windows of event time and the trips that came too late for them, over three runs.
+
+    The third run brings, besides the last trips, some that belong to the time of the first one.
+    """
+    held_back = _before(_CUT) & (F.col("l_partkey") % 50 == 0)
+    runs = [_before(_CUT) & ~held_back, _before(_LATER_CUT) & ~_before(_CUT), ~_before(_LATER_CUT) | held_back]
+    layers = _in_runs(spark, folder, runs, lambda layers: follow(layers, zone_hours=window_stage(layers)))
+    key = ["window_start", "window_end", "pickup_zone"]
+    # Zones may be missing, so both kinds of row are stacked rather than joined.
+    counted = layers.read("zone_hours").select(*key, "trips", "total_revenue", F.lit(0).cast("long").alias("late"))
+    late = late_trips(layers).select(*key, F.lit(0).cast("long").alias("trips"), F.lit(None).cast("double").alias("total_revenue"), "late")
+    sums = [F.sum(name).alias(name) for name in ("trips", "total_revenue", "late")]
+    return _comparable(_rounded(counted.union(late).groupBy(*key).agg(*sums)))
+
+
+def _stream_keyed(table: str) -> Query:
+    """An aggregate that is kept up to date by key, over three runs."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        runs = [_before(_CUT), _before(_LATER_CUT) & ~_before(_CUT), ~_before(_LATER_CUT)]
+        layers = _in_runs(spark, folder, runs, lambda layers: finish(keyed_stage(layers, table)))
+        return _rounded(read_keyed(layers, table))
+
+    return query
+
+
+def _mixed_landing(spark: SparkSession, folder: str, landing: str) -> None:
+    """Raw trips as CSV files of three kinds: usual ones, ones with other columns in another order, and broken lines."""
+    rows = raw_trips(_lineitem(spark, folder)).select(*RAW.names).withColumn("kind", F.right("driver_id", F.lit(1)).cast("int") % 3)
+    rows.filter("kind = 0").select(*RAW.names).write.option("header", True).csv(landing)
+    turned = rows.filter("kind = 1").withColumn("vendor", F.concat(F.lit("V, "), "driver_id"))
+    turned.select("vendor", *reversed(RAW.names)).write.mode("append").option("header", True).csv(landing)
+    broken = rows.filter("kind = 2")
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in RAW.names]
+    cut = F.coalesce(F.col("pickup_zone") == "Bronx", F.lit(False))
+    line = F.when(cut, F.concat_ws(",", *fields[:4])).otherwise(F.concat_ws(",", *fields, F.lit("surplus")))
+    head = spark.range(1).select(F.lit(0).alias("at"), F.lit(",".join(RAW.names)).alias("value"))
+    # One file, as its header has to come first.
+    lines = head.union(broken.select(F.lit(1), line)).repartition(1).sortWithinPartitions("at")
+    lines.select("value").write.mode("append").text(landing)
+
+
+def _rescued(spark: SparkSession, folder: str) -> DataFrame:
+    layers = _layers(spark)
+    _mixed_landing(spark, folder, f"{layers.root}/landing")
+    finish(rescued_stage(layers, f"{layers.root}/landing"))
+    return layers.read("bronze_rescued")
+
+
+def bronze_rescued(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _rescued(spark, folder)
+    money = {name: F.col(name).try_cast("double") for name in ("fare_amount", "tip_amount", "total_amount")}
+    others = {"vendor": F.col("rescued")["vendor"], "n_rescued": F.size("rescued")}
+    return rows.withColumns(money | others | {"malformed": F.col(MALFORMED).isNotNull()}).drop(
+        "rescued", MALFORMED, "source_file", "ingestion_timestamp"
+    )
+
+
+def bronze_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, misfits and rescued values per source file, added up over files of the same kind."""
+    ledger = file_ledger(_rescued(spark, folder))
+    kind = F.when(F.col("malformed") > 0, "broken").when(F.col("with_rescued") > 0, "other columns").otherwise("usual")
+    sums = [F.sum(name).alias(name) for name in ("rows_read", "malformed", "with_rescued")]
+    return ledger.groupBy(kind.alias("kind")).agg(*sums)
+
+
+def progress_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What stages that append report about themselves: rows taken in, and how they ended."""
+    layers = _layers(spark)
+    follow(layers, bronze_trips=bronze_stage(layers, _raw_stream(spark, folder)))
+    follow(layers, error_log=error_stage(layers))
+    log = layers.read("progress_log")
+    ends = F.max(F.when(F.col("status") != "BATCH", F.col("status"))).alias("ended")
+    return log.groupBy("stage").agg(F.sum("input_rows").alias("input_rows"), F.max("state_rows").alias("state_rows"), ends)
+
+
 def stream_gold_complete(spark: SparkSession, folder: str) -> DataFrame:
     """Trips per hour kept in the state store, over two micro-batches."""
     layers = _streamed(spark, folder)
@@ -281,6 +385,12 @@ QUERIES: dict[str, Query] = {
     "stream_gold_peak_hours": _stream_gold("gold_peak_hours"),
     "stream_gold_driver_perf": _stream_gold("gold_driver_perf"),
     "stream_gold_complete": stream_gold_complete,
+    "stream_zone_hours": stream_zone_hours,
+    "stream_gold_driver_update": _stream_keyed("driver_totals"),
+    "stream_gold_zone_update": _stream_keyed("zone_totals"),
+    "bronze_rescued": bronze_rescued,
+    "bronze_ledger": bronze_ledger,
+    "progress_rows": progress_rows,
     "stream_duplicate_log": stream_duplicate_log,
     "quality_counts": quality_counts,
     "category_counts": category_counts,

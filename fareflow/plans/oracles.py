@@ -145,6 +145,54 @@ _DUPLICATE_LOG = (_with("ranked")
     'Duplicate trip_id' AS error_reason, 'DUPLICATE' AS error_category, {_SNAPSHOT}
 FROM ranked WHERE copy > 1""")
 
+# Three runs: some early trips come in the last one. A row is late if its window ended before the mark of the run before.
+_RUN = """CASE WHEN l_shipdate < TIMESTAMP '1995-06-01' AND l_partkey % 50 <> 0 THEN 1
+    WHEN l_shipdate >= TIMESTAMP '1995-06-01' AND l_shipdate < TIMESTAMP '1997-01-01' THEN 2 ELSE 3 END AS run"""
+_ZONE_HOURS = (
+    _with("ranked")
+    .replace("FROM lineitem", f", {_RUN} FROM lineitem")
+    .replace("ingestion_timestamp\n    FROM raw", "ingestion_timestamp, run\n    FROM raw")
+    .replace("ORDER BY\n        ingestion_timestamp", "ORDER BY run, ingestion_timestamp")
+    + """, kept AS (
+    SELECT run, pickup_zone, picked_up, trip_id, coalesce(total_amount, fare_amount + tip_amount) AS total_amount,
+        date_trunc('hour', picked_up)::TIMESTAMP AS window_start,
+        date_trunc('hour', picked_up)::TIMESTAMP + INTERVAL 1 HOUR AS window_end
+    FROM ranked WHERE copy = 1 AND coalesce(speed <= 120, TRUE) AND coalesce(trip_duration <= 180, TRUE)
+), marks AS (
+    SELECT r.run, max(picked_up) - INTERVAL 10 MINUTE AS mark
+    FROM (VALUES (1), (2), (3)) AS r(run) JOIN kept ON kept.run <= r.run GROUP BY r.run
+), judged AS (
+    SELECT kept.*, coalesce(window_end <= before.mark, FALSE) AS is_late
+    FROM kept LEFT JOIN marks AS before ON before.run = kept.run - 1
+    WHERE picked_up IS NOT NULL AND window_end <= (SELECT max(mark) FROM marks)
+)
+SELECT window_start, window_end, pickup_zone, count(trip_id) FILTER (NOT is_late) AS trips,
+    round(sum(total_amount) FILTER (NOT is_late), 4) AS total_revenue, count(trip_id) FILTER (is_late) AS late
+FROM judged GROUP BY window_start, window_end, pickup_zone"""
+)
+
+# Files of three kinds by the last digit of the driver; broken lines have four fields or one too many.
+_KINDS = _with("raw", """kinds AS (
+    SELECT *, CAST(right(driver_id, 1) AS INTEGER) % 3 AS kind,
+        CAST(right(driver_id, 1) AS INTEGER) % 3 = 2 AND pickup_zone = 'Bronx' AS cut FROM raw
+)""")
+_AFTER_CUT = ", ".join(
+    f"CASE WHEN NOT cut THEN {name} END AS {name}"
+    for name in "dropoff_datetime pickup_zone dropoff_zone trip_distance fare_amount tip_amount total_amount".split()
+)
+_BRONZE_RESCUED = (
+    _KINDS
+    + f"""SELECT trip_id, driver_id, passenger_count, pickup_datetime, {_AFTER_CUT},
+    CASE WHEN kind = 1 THEN 'V, ' || driver_id END AS vendor, CAST(kind = 1 AS INTEGER) AS n_rescued, kind = 2 AS malformed
+FROM kinds"""
+)
+_BRONZE_LEDGER = (
+    _KINDS
+    + """SELECT CASE kind WHEN 2 THEN 'broken' WHEN 1 THEN 'other columns' ELSE 'usual' END AS kind, count(*) AS rows_read,
+    count(*) FILTER (kind = 2) AS malformed, count(*) FILTER (kind = 1) AS with_rescued
+FROM kinds GROUP BY ALL"""
+)
+
 ORACLES: dict[str, str] = {
     "bronze_ingest": _BRONZE_INGEST,
     "sanitize_numeric": _with("clean") + "SELECT * FROM clean",
@@ -190,6 +238,13 @@ FROM silver""",
     "stream_gold_peak_hours": _PEAK_HOURS,
     "stream_gold_driver_perf": _DRIVER_PERF,
     "stream_gold_complete": _PEAK_HOURS,
+    "stream_zone_hours": _ZONE_HOURS,
+    "stream_gold_driver_update": _DRIVER_PERF,
+    "stream_gold_zone_update": _ZONE_REVENUE,
+    "bronze_rescued": _BRONZE_RESCUED,
+    "bronze_ledger": _BRONZE_LEDGER,
+    "progress_rows": """SELECT stage, input_rows, 0::BIGINT AS state_rows, 'COMPLETED' AS ended
+FROM (VALUES ('bronze_trips'), ('error_log')) AS stages(stage), (SELECT count(*) AS input_rows FROM lineitem)""",
     "stream_duplicate_log": _DUPLICATE_LOG,
     "quality_counts": _with("ranked")
     + """SELECT count(*) AS row_count, count(*) FILTER (speed > 120) AS valid_speed_violations,

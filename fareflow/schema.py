@@ -110,3 +110,29 @@ RUN_LOG = _struct(
 )
 
 SEEN_IDS = _struct("trip_id string, bucket integer")
+
+
+# Closed windows of event time.
+ZONE_HOURS = _struct("window_start timestamp, window_end timestamp, pickup_zone string, trips long, total_revenue double")
+
+# Batches of running stages, and how each stage ended.
+PROGRESS_LOG = _struct(
+    "run_id string, stage string, batch long, started timestamp, millis long, input_rows long, state_rows long, "
+    "late_groups long, watermark timestamp, status string, message string"
+)
+
+# Aggregates that are kept up to date by key, in parts by a hash of it, and the version of each part by batch.
+DRIVER_TOTALS = T.StructType(GOLD_DRIVER_PERF.fields + _struct("part integer").fields)
+
+ZONE_TOTALS = T.StructType(GOLD_ZONE_REVENUE.fields + _struct("part integer").fields)
+
+KEYED_COMMITS = T.StructType(_struct("of string").fields).add("versions", T.MapType(T.IntegerType(), T.LongType()))
+
+# Trips read by the header of their own file, with what fits no column.
+RESCUED = (
+    T.StructType(RAW.fields)
+    .add("rescued", T.MapType(T.StringType(), T.StringType()))
+    .add(MALFORMED, T.StringType())
+    .add("source_file", T.StringType())
+    .add(ARRIVAL, T.TimestampType())
+)

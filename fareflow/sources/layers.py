@@ -26,6 +26,9 @@ class TableSpec:
 
 TABLES = {
     "bronze_trips": TableSpec("bronze", S.BRONZE, "Raw trips with arrival time and source file", "bronze"),
+    "bronze_rescued": TableSpec(
+        "bronze", S.RESCUED, "Raw trips read by the header of their file, with what fits no column", "bronze", True
+    ),
     "zone_lookup": TableSpec("silver", S.ZONE_LOOKUP, "Zones for enrichment"),
     "silver_trips": TableSpec("silver", S.SILVER, "Cleaned, checked and de-duplicated trips", "silver", True),
     "seen_ids": TableSpec(
@@ -41,6 +44,12 @@ TABLES = {
     "gold_zone_revenue": TableSpec("gold", S.GOLD_ZONE_REVENUE, "Revenue and averages per zone pair", "gold"),
     "gold_peak_hours": TableSpec("gold", S.GOLD_PEAK_HOURS, "Trips per local hour", "gold"),
     "gold_driver_perf": TableSpec("gold", S.GOLD_DRIVER_PERF, "Trips and average total per driver", "gold"),
+    "zone_hours": TableSpec("gold", S.ZONE_HOURS, "Trips and revenue per pickup zone and closed hour", "gold"),
+    "driver_totals": TableSpec("gold", S.DRIVER_TOTALS, "Running totals per driver", "gold", True, ("part",)),
+    "driver_totals_commits": TableSpec("gold", S.KEYED_COMMITS, "Versions of the parts of driver_totals", None, True),
+    "zone_totals": TableSpec("gold", S.ZONE_TOTALS, "Running totals per zone pair", "gold", True, ("part",)),
+    "zone_totals_commits": TableSpec("gold", S.KEYED_COMMITS, "Versions of the parts of zone_totals", None, True),
+    "progress_log": TableSpec("log", S.PROGRESS_LOG, "Batches of stages and how each stage ended"),
     "pipeline_log": TableSpec("log", S.PIPELINE_LOG, "Counts over the layers"),
     "layer_counts": TableSpec("log", S.PIPELINE_LOG, "Counts over the layers, one row per run"),
     "run_log": TableSpec("log", S.RUN_LOG, "Runs with start, end and status"),

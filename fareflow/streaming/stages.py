@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import errors, gold
 from ..plans.logs import pipeline_log
-from ..sources import Layers, without_metadata
+from ..sources import Layers, stream_lines, with_rescued, without_metadata
 from ..sources.layers import replace_rows
-from .exact import silver_stage
+from .exact import _store_batch, silver_stage
+from .progress import follow
 
 
 def finish(*queries: StreamingQuery) -> None:
@@ -46,6 +47,22 @@ def bronze_stage(layers: Layers, trips: DataFrame) -> StreamingQuery:
     return append_stage(trips, layers, "bronze_trips")
 
 
+def rescued_stage(layers: Layers, path: str, now: Column | None = None, **options: str | int) -> StreamingQuery:
+    """Raw trips of a folder whose files have headers of their own; what fits no column is kept beside them."""
+    name = layers.create("bronze_rescued")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        _store_batch(with_rescued(batch, now), name, batch_id)
+
+    return (
+        stream_lines(layers.spark, path, **options)
+        .writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", layers.checkpoint("bronze_rescued"))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def error_stage(layers: Layers, on_null: str = "keep", **options: str | int) -> StreamingQuery:
     """Log of invalid rows and rows without an id, next to the cleaned layer and from the same table."""
     rows = errors.error_log(layers.stream("bronze_trips", **options), on_null)
@@ -104,8 +121,9 @@ def run_layers(
     layers: Layers, trips: DataFrame, lookup: DataFrame | None = None, on_null: str = "keep", **options: str | int
 ) -> None:
     """Bring all tables up to date with the raw stream ``trips``; ``options`` pace the stages that read it."""
-    finish(bronze_stage(layers, trips))
-    finish(silver_stage(layers, lookup=lookup, on_null=on_null, **options), error_stage(layers, on_null, **options))
+    follow(layers, bronze_trips=bronze_stage(layers, trips))
+    cleaned = silver_stage(layers, lookup=lookup, on_null=on_null, **options)
+    follow(layers, silver_trips=cleaned, error_log=error_stage(layers, on_null, **options))
     for table in TOTALS:
         gold_totals(layers, table)
     layers.create("pipeline_log")
