@@ -43,18 +43,17 @@ def pipeline_log(
     return tagged.select(*PIPELINE_LOG.names)
 
 
+def stored_log(layers: Layers, status: str = "SUCCESS", file_name: str = "N/A", id_style: str = "epoch") -> DataFrame:
+    """``pipeline_log`` over the stored layers, counted from the footers of their files: no row is read."""
+    stored = [layers.footers(table) for table in ("silver_trips", "error_log", "duplicate_log")]
+    return pipeline_log(*stored, status, file_name, id_style)
+
+
 def append_layer_counts(layers: Layers, status: str = "SUCCESS", file_name: str = "N/A") -> None:
     """Append the current layer counts to the log; if that fails, try once more as a FAILED row."""
 
     def append(as_status: str) -> None:
-        counts = pipeline_log(
-            layers.read("silver_trips"),
-            layers.read("error_log"),
-            layers.read("duplicate_log"),
-            as_status,
-            file_name,
-            id_style="stamp",
-        )
+        counts = stored_log(layers, as_status, file_name, id_style="stamp")
         layers.append(counts, "layer_counts")
 
     layers.create("layer_counts")

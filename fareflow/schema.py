@@ -130,7 +130,7 @@ KEYED_COMMITS = T.StructType(_struct("of string").fields).add("versions", T.MapT
 
 # Trips read by the header of their own file, with what fits no column.
 RESCUED = (
-    T.StructType(RAW.fields)
+    T.StructType([*RAW.fields])
     .add("rescued", T.MapType(T.StringType(), T.StringType()))
     .add(MALFORMED, T.StringType())
     .add("source_file", T.StringType())

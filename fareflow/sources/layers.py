@@ -132,6 +132,21 @@ class Layers:
         rows = self.spark.read.table(self._current(table))
         return rows.drop("batch_id") if TABLES[table].by_batch else rows
 
+    def footers(self, table: str) -> DataFrame:
+        """A stored table whose rows can be counted from the footers of its files, without reading any of them.
+
+        Spark does so for its newer kind of Parquet scan, which tables of the catalog do not get by themselves.
+        """
+        conf = self.spark.conf
+        location = self.spark.sql(f"DESCRIBE FORMATTED {self._current(table)}").filter("col_name = 'Location'").first().data_type
+        conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        older = conf.get("spark.sql.sources.useV1SourceList")
+        conf.set("spark.sql.sources.useV1SourceList", ",".join(kind for kind in older.split(",") if kind != "parquet"))
+        try:
+            return self.spark.read.schema(self.spark.table(self.name(table)).schema).parquet(location)
+        finally:
+            conf.set("spark.sql.sources.useV1SourceList", older)
+
     def stream(self, table: str, **options: str | int) -> DataFrame:
         rows = self.spark.readStream.options(**options).table(self._current(table))
         return rows.drop("batch_id") if TABLES[table].by_batch else rows
@@ -163,11 +178,29 @@ def replace_rows(rows: DataFrame, name: str, location: str) -> None:
     _keep_only(session, f"{location}_versions", {folder, before})
 
 
+def _files(session: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    path = session._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(session._jsc.hadoopConfiguration()), path
+
+
 def _keep_only(session: SparkSession, parent: str, kept: set[str]) -> None:
     """Remove the folders of versions that no table or reader needs any more."""
-    path = session._jvm.org.apache.hadoop.fs.Path(parent)
-    files = path.getFileSystem(session._jsc.hadoopConfiguration())
+    files, path = _files(session, parent)
     names = {folder.rstrip("/").rsplit("/", 1)[-1] for folder in kept}
     for version in files.listStatus(path):
         if version.isDirectory() and version.getPath().getName() not in names:
             files.delete(version.getPath(), True)
+
+
+def drop_partitions(session: SparkSession, name: str, **spec: int) -> None:
+    """Drop the partitions of a table that have these values, and their files, which Spark leaves where they are."""
+    wanted = ", ".join(f"{column} = {value}" for column, value in spec.items())
+    dropped = [row[0] for row in session.sql(f"SHOW PARTITIONS {name} PARTITION ({wanted})").collect()]
+    if not dropped:
+        return
+    session.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({wanted})")
+    location = session.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first().data_type
+    for partition in dropped:
+        files, path = _files(session, f"{location}/{partition}")
+        files.delete(path, True)

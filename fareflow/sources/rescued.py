@@ -35,7 +35,7 @@ def _width(line: Column) -> Column:
 
 def _fields(line: Column, width: int) -> Column:
     names = [f"c{i}" for i in range(width)]
-    parsed = F.from_csv(line, F.lit(", ".join(f"{name} string" for name in names)))
+    parsed = F.from_csv(line, F.lit(", ".join(f"{name} string" for name in names)), {"escape": '"'})
     # The parsed line is a variable, so that it is parsed once for all fields.
     return F.transform(F.array(parsed), lambda row: F.array(*[row[name] for name in names]))[0]
 

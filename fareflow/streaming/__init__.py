@@ -1,3 +1,4 @@
+from . import seen, upsert
 from .exact import silver_stage
 from .progress import StageStopped, follow
 from .stages import append_stage, bronze_stage, error_stage, finish, gold_stage, gold_totals, rescued_stage, run_layers

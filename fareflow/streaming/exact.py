@@ -29,7 +29,7 @@ from ..plans.errors import batch_firsts, duplicate_log, prepared_firsts
 from ..plans.silver import derive, prepare
 from ..schema import KEY, QUALITY_LOG, RULES
 from ..sources import Layers, without_metadata
-from ..sources.layers import quoted
+from ..sources.layers import drop_partitions, quoted
 from .seen import bucket_of, earlier_ids, in_buckets, touched_buckets
 
 
@@ -46,7 +46,7 @@ def _store_batch(rows: DataFrame, table: str, batch_id: int) -> int:
     rows.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=True)
     if not written.get["n"]:
         # Overwriting with nothing leaves what an earlier attempt at this batch has written.
-        session.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
+        drop_partitions(session, table, batch_id=batch_id)
     return written.get["n"]
 
 

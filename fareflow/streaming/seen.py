@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..schema import KEY
 from ..sources import Layers
+from ..sources.layers import drop_partitions
 
 BUCKETS = 64
 # Ids that are listed in the filter of a scan.
@@ -68,5 +69,5 @@ def compact(layers: Layers) -> None:
     rows = ids.withColumn("batch_id", F.lit(into).cast("bigint"))
     in_buckets(rows).select(*session.table(name).columns).write.insertInto(name, overwrite=True)
     for batch in merged:
-        session.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id = {batch})")
+        drop_partitions(session, name, batch_id=batch)
     layers.spark.catalog.refreshTable(name)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import errors, gold
-from ..plans.logs import pipeline_log
+from ..plans.logs import stored_log
 from ..sources import Layers, stream_lines, with_rescued, without_metadata
 from ..sources.layers import replace_rows
 from .exact import _store_batch, silver_stage
@@ -127,5 +127,4 @@ def run_layers(
     for table in TOTALS:
         gold_totals(layers, table)
     layers.create("pipeline_log")
-    stored = [layers.read(table) for table in ("silver_trips", "error_log", "duplicate_log")]
-    layers.overwrite(pipeline_log(*stored), "pipeline_log")
+    layers.overwrite(stored_log(layers), "pipeline_log")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources import Layers
-from ..sources.layers import quoted
+from ..sources.layers import drop_partitions, quoted
 from .exact import _store_batch
 
 PARTS = 32
@@ -50,7 +50,7 @@ def _remove_old(session: SparkSession, name: str, kept: list[dict[int, int]]) ->
     for (spec,) in session.sql(f"SHOW PARTITIONS {name}").collect():
         part, batch = (int(field.split("=")[1]) for field in spec.split("/"))
         if (part, batch) not in named:
-            session.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (part = {part}, batch_id = {batch})")
+            drop_partitions(session, name, part=part, batch_id=batch)
 
 
 def keyed_stage(layers: Layers, table: str, **options: str | int) -> StreamingQuery:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from fareflow.operators import zone_lookup
 from fareflow.plans import errors
-from fareflow.plans.logs import append_layer_counts, tracked_run
+from fareflow.plans.logs import append_layer_counts, stored_log, tracked_run
 from fareflow.plans.silver import silver_trips
 from fareflow.schema import RUN_LOG
 from fareflow.session import shared_folder
 from fareflow.sources import TABLES
+from fareflow.sources.layers import drop_partitions
 
 
 def described(spark, name):
@@ -114,3 +115,23 @@ def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first.startswith(base) and first != second
+
+
+def test_stored_layers_are_counted_from_footers(spark, layers):
+    fill(spark, layers)
+    log = stored_log(layers)
+    row = log.first()
+    assert (row.ProcessedRecordCount, row.InvalidAnomalyCount, row.DuplicateCount) == (7, 5, 2)
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 3 and "ReadSchema: struct<count(*):bigint>" in plan
+
+
+def test_dropped_partitions_leave_no_files(spark, layers):
+    fill(spark, layers)
+    name = layers.name("silver_trips")
+    drop_partitions(spark, name, batch_id=3)
+    assert spark.table(name).count() == 7
+    drop_partitions(spark, name, batch_id=0)
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 0 and "batch_id=0" not in os.listdir(layers.location("silver_trips"))
+    assert stored_log(layers).first().ProcessedRecordCount == 0
