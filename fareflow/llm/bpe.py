@@ -2,8 +2,9 @@
 
 For every prefix of a piece there is exactly one last token that an encoding of this prefix can end
 with: a sequence of tokens is what BPE gives if and only if BPE leaves each pair of neighbours as it
-is. So one walk from left to right finds the last token of every prefix, in time that grows with
-the length of the piece, and the number of tokens of every prefix comes with it.
+is. An automaton over all tokens gives those that end at each byte, from left to right, and the one among them that may
+follow the last token before it is the last token there. So one walk finds the last token of every prefix, in time
+that grows with the length of the piece, and the number of tokens of every prefix comes with it.
 
 What is stored for a prefix never depends on what follows. That allows appending without encoding
 again, cutting a text at a token budget, and encoding again only the pieces around an edit.
@@ -15,21 +16,26 @@ import base64
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 from struct import pack
 
+import ahocorasick
+import numpy as np
 import regex
 
 # Fixed value: how the vocabularies cut a text into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Entries that a worker keeps: pieces, and decisions on pairs of tokens.
-CACHED = 150_000
-# Longer pieces are rare and not kept, nor are longer prefixes.
-CACHED_LENGTH = 200
-SHARED_LENGTH = 32
+# Decisions on pairs of tokens that a worker keeps.
+PAIRS = 600_000
+# Bytes of words that a worker keeps with their tokens.
+CACHE_BYTES = 96 << 20
+# Words that are looked up together, and bytes up to which pieces are walked together.
+TOGETHER = 1 << 19
+SHORT = 48
 # Characters that are cut into pieces at once.
 BLOCK = 1 << 18
+_ID = (1 << 32) - 1
 
 
 class Vocabulary:
@@ -55,18 +61,22 @@ class Vocabulary:
         self.specials = specials or {}
         self.tokens |= {number: text.encode() for text, number in self.specials.items()}
         self.whole = whole
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
-        self._alone: dict[bytes, bool | None] = dict.fromkeys(ids)
+        self.sizes = {number: len(token) for token, number in ids.items()}
+        self.longest = max(map(len, ids))
+        # Bytes as characters of the same number: the automaton takes text.
+        self.automaton = ahocorasick.Automaton()
+        for token, number in ids.items():
+            self.automaton.add_word(token.decode("latin-1"), len(token) << 32 | number)
+        self.automaton.make_automaton()
+        # By id: whether BPE makes the token of its own bytes (1 if it does, 2 if not, 0 if that is not known yet).
+        self._alone = bytearray(max(ids.values()) + 1)
+        self._size_of = np.zeros(len(self._alone), np.int64)
+        self._size_of[list(self.sizes)] = list(self.sizes.values())
+        # By ids of two neighbours.
+        self._pairs: dict[int, bool] = {}
         self._first: dict[bytes, tuple[list[int], list[bytes]]] = {}
         self._last: dict[bytes, tuple[list[int], list[bytes]]] = {}
         self._never = 1 << 62
-        self.known: dict[bytes, tuple[bytes, int]] = {}
-        # Lengths of the tokens that end with these four bytes; shorter ones are always tried.
-        lengths: dict[bytes, set[int]] = {}
-        for token in ids:
-            if len(token) > 3:
-                lengths.setdefault(token[-4:], {1, 2, 3}).add(len(token))
-        self.lengths = {tail: sorted(found, reverse=True) for tail, found in lengths.items()}
 
     def _rank(self, left: bytes, right: bytes) -> int | None:
         return self.ids.get(left + right) if self.merges is None else self.merges.get((left, right))
@@ -89,11 +99,11 @@ class Vocabulary:
 
     def stands(self, token: bytes) -> bool:
         """BPE makes this token of its own bytes. Notes by which merges its outer parts grew."""
-        known = self._alone.get(token, False)
-        if known is None:
+        number = self.ids[token]
+        if not self._alone[number]:
             parts, merge = self._merged(token)
-            known = self._alone[token] = parts == [token]
-            if known:
+            self._alone[number] = 1 if parts == [token] else 2
+            if parts == [token]:
                 if merge is None:
                     self._first[token] = self._last[token] = ([], [token])
                 else:
@@ -104,19 +114,17 @@ class Vocabulary:
                     self._first[token] = [*ranks, rank], [*grown, token]
                     ranks, grown = self._last[right]
                     self._last[token] = [*ranks, rank], [*grown, token]
-        return known
+        return self._alone[number] == 1
 
-    def adjoins(self, left: bytes, right: bytes) -> bool:
+    def adjoins(self, left: int, right: int) -> bool:
         """BPE leaves these neighbours as they are: no merge over the border comes before their own merges.
 
         The parts at the border grow by merges of rising rank. While one is still to grow, a merge over
         the border wins if its rank is lower; of equal ranks, the one further left.
         """
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) >= 2 * CACHED:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self._compare(left, right)
+        if len(self._pairs) >= PAIRS:
+            self._pairs.clear()
+        known = self._pairs[left << 32 | right] = self._compare(self.tokens[left], self.tokens[right])
         return known
 
     def _compare(self, left: bytes, right: bytes) -> bool:
@@ -136,79 +144,107 @@ class Vocabulary:
             else:
                 j += 1
 
-    def last_token(self, data: bytes, end: int, last: list[bytes]) -> bytes:
-        """The one token that the encoding of ``data[:end]`` ends with; ``last`` has those of shorter prefixes."""
+    def last_tokens(self, data: bytes, last: list[int]) -> None:
+        """Add to ``last``, by length of prefix, the one token that the encoding of each longer prefix of ``data`` ends with."""
         alone, pairs = self._alone, self._pairs
-        for length in self.lengths.get(data[max(0, end - 4) : end], (3, 2, 1)):
-            if length > end:
+        known = len(last)
+        last += [-1] * (len(data) + 1 - known)
+        # Tokens that end behind the known prefixes begin no further back than the longest token.
+        skipped = max(0, known - self.longest)
+        for at, value in self.automaton.iter((data[skipped:] if skipped else data).decode("latin-1")):
+            end, length, token = skipped + at + 1, value >> 32, value & _ID
+            # Each prefix has one; the rest of the tokens that end here need no look.
+            if last[end] >= 0 or alone[token] == 2:
+                continue
+            if not alone[token] and not self.stands(self.tokens[token]):
                 continue
-            token = data[end - length : end]
-            known = alone.get(token, False)
-            if known or known is None and self.stands(token):
-                if length == end:
-                    return token
-                left = last[end - length]
-                known = pairs.get((left, token))
-                if known or known is None and self.adjoins(left, token):
-                    return token
-        raise AssertionError("a last token always exists")
-
-
-class Cache(dict):
-    """Keeps at least the last ``CACHED`` entries: those in use move to the young half before the old one goes."""
-
-    def __init__(self, make):
-        self.make = make
-        self.old: dict = {}
-
-    def __missing__(self, key):
-        found = self.old.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(key) <= CACHED_LENGTH:
-            if len(self) >= CACHED:
-                self.old = dict(self)
-                self.clear()
-            self[key] = found
-        return found
+            if end == length:
+                last[end] = token
+                continue
+            left = last[end - length]
+            pair = left << 32 | token
+            fits = pairs.get(pair)
+            if fits or fits is None and self.adjoins(left, token):
+                last[end] = token
+
+    def encoded(self, data: bytes) -> list[int]:
+        """The ids of a piece: the last tokens of all prefixes, followed back from the end."""
+        last, sizes, found, at = [0], self.sizes, [], len(data)
+        self.last_tokens(data, last)
+        while at:
+            found.append(last[at])
+            at -= sizes[last[at]]
+        return found[::-1]
 
+    def _fit(self, pairs: np.ndarray) -> np.ndarray:
+        found = list(map(self._pairs.get, pairs.tolist()))
+        if None in found:
+            for i, known in enumerate(found):
+                if known is None:
+                    pair = int(pairs[i])
+                    known = self._pairs.get(pair)
+                    found[i] = self.adjoins(pair >> 32, pair & _ID) if known is None else known
+        return np.array(found, bool)
+
+    def encoded_together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many pieces, one after the other, and how many each has: the same walk, for prefixes of one length at a time."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        # No token has the character between pieces.
+        joined = "\u0100".join(piece.decode("latin-1") for piece in pieces)
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(joined)), np.int64)
+        ends, lengths, tokens = found[::2] + 1, found[1::2] >> 32, found[1::2] & _ID
+        alone = np.frombuffer(self._alone, np.uint8)
+        for token in np.unique(tokens[alone[tokens] == 0]).tolist():
+            self.stands(self.tokens[token])
+        alone = alone[tokens] == 1
+        ends, lengths, tokens = ends[alone], lengths[alone], tokens[alone]
+        prefix = ends - np.repeat(starts, sizes + 1)[ends - 1]
+        last = np.full(len(joined) + 1, -1, np.int64)
+        whole = lengths == prefix
+        last[ends[whole]] = tokens[whole]
+        open_ = np.flatnonzero(last[ends] < 0)
+        open_ = open_[np.argsort(prefix[open_], kind="stable")]
+        borders = np.flatnonzero(np.diff(prefix[open_])) + 1
+        for group in np.split(open_, borders) if len(open_) else ():
+            end, token = ends[group], tokens[group]
+            fits = self._fit(last[end - lengths[group]] << 32 | token)
+            last[end[fits]] = token[fits]
+        of, at, steps = np.arange(len(pieces)), starts + sizes, []
+        while len(of):
+            steps.append((of, last[at]))
+            at = at - self._size_of[last[at]]
+            going = at > starts[of]
+            of, at = of[going], at[going]
+        piece = np.concatenate([x for x, _ in steps])
+        turn = np.repeat(np.arange(len(steps)), [len(x) for x, _ in steps])
+        ids = np.concatenate([x for _, x in steps])[np.lexsort((-turn, piece))]
+        return ids, np.bincount(piece, minlength=len(pieces))
 
-class Prefixes:
-    """Last token and number of tokens of every prefix of one piece.
 
-    The vocabulary keeps both for short prefixes: pieces that begin alike share them.
-    """
+class Prefixes:
+    """Last token and number of tokens of every prefix of one piece."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
         self.vocabulary = vocabulary
         self.data = b""
-        self.last: list[bytes] = [b""]
+        self.last: list[int] = [0]
         self.count: list[int] = [0]
         self.extend(data)
 
     def extend(self, more: bytes) -> None:
         """Append bytes. What is stored for earlier prefixes stays right."""
-        vocabulary, last, count = self.vocabulary, self.last, self.count
         begin, self.data = len(self.data), self.data + more
-        data, known = self.data, vocabulary.known
-        for end in range(begin + 1, len(data) + 1):
-            found = known.get(data[:end]) if end <= SHARED_LENGTH else None
-            if found is None:
-                token = vocabulary.last_token(data, end, last)
-                found = token, count[end - len(token)] + 1
-                if end <= SHARED_LENGTH:
-                    if len(known) >= CACHED:
-                        known.clear()
-                    known[data[:end]] = found
-            last.append(found[0])
-            count.append(found[1])
-
-    def tokens(self, end: int | None = None) -> list[bytes]:
+        self.vocabulary.last_tokens(self.data, self.last)
+        for end in range(begin + 1, len(self.data) + 1):
+            self.count.append(self.count[end - self.vocabulary.sizes[self.last[end]]] + 1)
+
+    def ids(self, end: int | None = None) -> list[int]:
         """The encoding of a prefix, read from its end."""
         found, at = [], len(self.data) if end is None else end
         while at:
             found.append(self.last[at])
-            at -= len(self.last[at])
+            at -= self.vocabulary.sizes[self.last[at]]
         return found[::-1]
 
 
@@ -216,7 +252,7 @@ _PIECES = regex.compile(PATTERN)
 # No piece goes on with white space after another character, so a text may be cut there.
 _SAFE = regex.compile(r"(?<=\S)(?=\s)")
 _WORDS = regex.compile(r"\s*\S+|\s+")
-_RUN = regex.compile(r"\s ")
+_RUN = regex.compile(r"\s[ \n]")
 
 
 def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
@@ -229,39 +265,83 @@ def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
 
 
 def words(text: str) -> Iterator[list[str]]:
-    """Smaller parts of that kind, in lists: mostly a space with all that follows up to the next one."""
+    """Smaller parts of that kind, in lists: mostly a space or a line feed with all that follows up to the next one."""
     for block in blocks(text):
         if _RUN.search(block):
             yield _WORDS.findall(block)
         else:
-            first, *rest = block.split(" ")
-            yield [first, *(" " + word for word in rest)]
+            # No white space next to another: a part may begin at any space and at any line feed.
+            first, *lines = block.split("\n")
+            for line in [first, *("\n" + line for line in lines)]:
+                head, *rest = line.split(" ")
+                yield [head, *(" " + word for word in rest)]
 
 
 class Encoder:
-    """Encodes texts piece by piece and keeps what frequent pieces give."""
+    """Encodes texts piece by piece and keeps what frequent words give."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._ids = Cache(self._make_ids)
-        self._counts = Cache(self._make_count)
-        self._word_ids = Cache(lambda word: b"".join(map(self._ids.__getitem__, _PIECES.findall(word))))
-        self._word_counts = Cache(lambda word: sum(map(self._counts.__getitem__, _PIECES.findall(word))))
+        # Ids of words and pieces: those met since the last change of generation, and the ones before.
+        self._ids: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._held = 0
         self._special = regex.compile("|".join(map(regex.escape, vocabulary.specials))) if vocabulary.specials else None
 
-    def piece_tokens(self, piece: str) -> list[bytes]:
-        data = piece.encode()
-        if self.vocabulary.whole and data in self.vocabulary.ids:
-            return [data]
-        return Prefixes(self.vocabulary, data).tokens()
-
-    def _make_ids(self, piece: str) -> bytes:
-        ids = [self.vocabulary.ids[token] for token in self.piece_tokens(piece)]
-        return pack(f"<{len(ids)}I", *ids)
-
-    def _make_count(self, piece: str) -> int:
-        data = piece.encode()
-        return 1 if self.vocabulary.whole and data in self.vocabulary.ids else Prefixes(self.vocabulary, data).count[-1]
+    def _solved(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of pieces."""
+        vocabulary, together = self.vocabulary, []
+        for piece in pieces:
+            data = piece.encode()
+            if vocabulary.whole and data in vocabulary.ids:
+                yield piece, pack("<I", vocabulary.ids[data])
+            elif len(data) > SHORT:
+                ids = vocabulary.encoded(data)
+                yield piece, pack(f"<{len(ids)}I", *ids)
+            else:
+                together.append((piece, data))
+        if together:
+            ids, counts = vocabulary.encoded_together([data for _, data in together])
+            packed, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            for (piece, _), begin, end in zip(together, [0, *ends], ends, strict=False):
+                yield piece, packed[begin:end]
+
+    def _learn(self, found: list[list[str]]) -> None:
+        """Have the ids of some words at hand. Each different word is looked up once, and cut into pieces if it is new."""
+        if self._held > CACHE_BYTES // 2:
+            self._ids, self._old, self._held = {}, self._ids, 0
+        ids, old = self._ids, self._old
+        before = len(ids)
+
+        def unknown(wanted: set[str]) -> set[str]:
+            wanted = wanted - ids.keys()
+            back = wanted & old.keys()
+            ids.update((word, old[word]) for word in back)
+            return wanted - back
+
+        cut = {word: _PIECES.findall(word) for word in unknown(set().union(*found))}
+        ids.update(self._solved(list(unknown({piece for pieces in cut.values() for piece in pieces}))))
+        ids.update((word, b"".join(map(ids.__getitem__, pieces))) for word, pieces in cut.items() if len(pieces) != 1)
+        # Both objects and their place in the dictionary take some 200 bytes besides their content.
+        self._held += 200 * (len(ids) - before) + 3 * sum(map(len, cut))
+
+    def _walks(self, texts: list[str]) -> Iterator[list[tuple[int, list[str], str]]]:
+        """Words of all texts with the number of their text and the special string after them, some at a time, with their ids
+        at hand."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for part, special in self._parts(text):
+                for found in words(part):
+                    held.append((i, found, ""))
+                    size += len(found)
+                    if size >= TOGETHER:
+                        self._learn([found for _, found, _ in held])
+                        yield held
+                        held, size = [], 0
+                if special:
+                    held.append((i, [], special))
+        self._learn([found for _, found, _ in held])
+        yield held
 
     def _parts(self, text: str) -> Iterator[tuple[str, str]]:
         """Ordinary text and the special string after it, in turns."""
@@ -271,26 +351,44 @@ class Encoder:
             start = found.end()
         yield text[start:], ""
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        for walk in self._walks(texts):
+            for i, found, special in walk:
+                out[i].append(b"".join(map(self._ids.__getitem__, found)))
+                if special:
+                    out[i].append(pack("<I", self.vocabulary.specials[special]))
+        return list(map(b"".join, out))
+
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out = []
-        for part, special in self._parts(text):
-            for found in words(part):
-                out.extend(map(self._word_ids.__getitem__, found))
-            if special:
-                out.append(pack("<I", self.vocabulary.specials[special]))
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, memoryview(ids).cast("I")))
 
+    def measure_all(self, texts: list[str], budget: int) -> list[tuple[int, int]]:
+        """Tokens of each text, and the bytes of its longest start of whole tokens that has at most ``budget`` of them.
+
+        One walk gives both: what each token covers is known, so the cut is a sum and nothing is encoded for it.
+        """
+        total, at = [0] * len(texts), [0] * len(texts)
+        cut: list[int | None] = [None] * len(texts)
+        for walk in self._walks(texts):
+            for i, found, special in walk:
+                ids = list(map(self._ids.__getitem__, found))
+                more = (sum(map(len, ids)) >> 2) + bool(special)
+                if cut[i] is None:
+                    if total[i] + more > budget:
+                        within = np.frombuffer(b"".join(ids), "<u4")[: budget - total[i]]
+                        cut[i] = at[i] + int(self.vocabulary._size_of[within].sum())
+                    else:
+                        at[i] += len("".join(found).encode()) + len(special.encode())
+                total[i] += more
+        return [(n, end if c is None else c) for n, c, end in zip(total, cut, at, strict=True)]
+
     def count(self, text: str) -> int:
-        total = 0
-        for part, special in self._parts(text):
-            total += bool(special)
-            for found in words(part):
-                total += sum(map(self._word_counts.__getitem__, found))
-        return total
+        return self.measure_all([text], 1 << 62)[0][0]
 
     def prefix_counts(self, text: str) -> Iterator[tuple[int, list[int]]]:
         """For each piece, its place in bytes and the number of tokens up to each of its bytes."""
@@ -311,24 +409,6 @@ class Encoder:
                 yield at, [total] * size
                 at += size
 
-    def cut(self, text: str, budget: int) -> int:
-        """Bytes of the longest run of whole tokens from the start that has at most ``budget`` tokens."""
-        at = total = 0
-        for part, special in self._parts(text):
-            for block in blocks(part):
-                pieces = _PIECES.findall(block)
-                for piece, after in zip(pieces, accumulate(map(self._counts.__getitem__, pieces), initial=total), strict=False):
-                    if after + self._counts[piece] > budget:
-                        return at + sum(map(len, self.piece_tokens(piece)[: budget - after]))
-                    at += len(piece.encode())
-                total += sum(map(self._counts.__getitem__, pieces))
-            if special:
-                if total + 1 > budget:
-                    return at
-                total += 1
-                at += len(special.encode())
-        return at
-
 
 class Encoding:
     """A text with its ids that can be appended to and edited; only pieces near a change are encoded again."""
@@ -390,9 +470,9 @@ class Encoding:
         self.replace(size, size, more)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def load(path: str) -> Encoder:
-    """The encoder of a vocabulary file, once per process. Files: ``.tiktoken`` ranks or ``.json`` of a tokenizer."""
+    """The encoder of a vocabulary file, kept by each process. Files: ``.tiktoken`` ranks or ``.json`` of a tokenizer."""
     if path.endswith(".tiktoken"):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -409,11 +489,6 @@ def load(path: str) -> Encoder:
     return Encoder(Vocabulary(ids, merges, specials))
 
 
-def forget() -> None:
-    """Drop what this process keeps: reading a vocabulary again takes less than a second."""
-    load.cache_clear()
-
-
 def _byte_places() -> dict[str, int]:
     """Characters that stand for bytes in such files: printable ones for themselves, others moved past 255."""
     printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]

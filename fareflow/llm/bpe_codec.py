@@ -33,7 +33,7 @@ def encode_texts(
         _quiet_gc()
         encoder = bpe.load(path)
         for part in slices:
-            ids = [encoder.encode(text or "") for text in part["text"]]
+            ids = encoder.encode_all([text or "" for text in part["text"]])
             out = {id_col: part["id"], "ids": ids}
             yield out | {"decoded": [encoder.decode(x) for x in ids]} if decoded else out
 
@@ -42,7 +42,6 @@ def encode_texts(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
         f"`{id_col}` {kind}, ids binary" + ", decoded binary" * decoded,
         rows,
-        bpe.forget,
     )
 
 
@@ -55,4 +54,4 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFra
             yield {id_col: part["id"], "decoded": [encoder.decode(x or b"") for x in part["ids"]]}
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return map_rows(encoded.select(F.col(id_col).alias("id"), "ids"), f"`{id_col}` {kind}, decoded binary", rows, bpe.forget)
+    return map_rows(encoded.select(F.col(id_col).alias("id"), "ids"), f"`{id_col}` {kind}, decoded binary", rows)

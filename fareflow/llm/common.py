@@ -50,7 +50,8 @@ def map_rows(
 
     Slices are small, so that a worker holds few texts at once, and the session's Arrow batches are held to
     ``BATCH_BYTES``. ``kept`` is called after each partition, to empty what was kept for speed: workers live
-    on, and later stages need their memory.
+    on, and later stages need their memory. Without it, ``rows`` keeps nothing, or what it keeps is bounded and meant to
+    stay.
     """
     _bound_batches(df.sparkSession)
     kind = T._parse_datatype_string(schema)
@@ -66,6 +67,7 @@ def map_rows(
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
         if kept:
             kept()
+            gc.collect()
         _release()
 
     return df.mapInArrow(batches, kind)
@@ -81,7 +83,6 @@ def _bound_batches(spark: SparkSession) -> None:
 
 def _release() -> None:
     """Give free memory of this worker back to the system; allocators would keep it for as long as the worker lives."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)

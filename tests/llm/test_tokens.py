@@ -65,6 +65,28 @@ def test_odd_texts(plain_counts, plain_ids):
         assert encoder.decode(encoder.encode(text)) == text.encode()
 
 
+@pytest.mark.parametrize("budget", [0, 1, 2, 7, 512])
+def test_cuts_are_whole_tokens_within_the_budget(budget):
+    library = Tokenizer.from_file(COUNTS)
+    counter = bpe.load(COUNTS)
+    for text in [*TEXTS, "ab" * 300 + "<|endoftext|>" + "é漢" * 300]:
+        n, cut = counter.measure_all([text], budget)[0]
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert n == len(ids)
+        assert cut == sum(len(counter.vocabulary.tokens[i]) for i in ids[:budget])
+
+
+def test_kept_words_are_bounded_and_batches_equal_single_texts(monkeypatch, plain_ids):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 100_000)
+    monkeypatch.setattr(bpe, "TOGETHER", 300)
+    encoder = bpe.Encoder(bpe.load(RANKS).vocabulary)
+    rng = random.Random(3)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 70))) for _ in range(60)) for _ in range(8)]
+        assert encoder.encode_all(texts) == [plain_ids(text) for text in texts]
+        assert len(encoder._ids) + len(encoder._old) < 2000
+
+
 def test_appends_and_edits_give_the_ids_of_the_whole_text(plain_ids):
     rng = random.Random(11)
     kept, text = bpe.Encoding(bpe.load(RANKS)), ""
