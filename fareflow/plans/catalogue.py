@@ -32,6 +32,7 @@ from ..streaming import (
     window_stage,
 )
 from . import errors, gold
+from .clustered import store_by_id, stored_duplicates, stored_firsts
 from .logs import append_layer_counts, pipeline_log, tracked_run
 from .silver import derive, prepare, silver_trips
 
@@ -128,6 +129,21 @@ def dedup_first(spark: SparkSession, folder: str) -> DataFrame:
     return _comparable(first_copies(prepare(_raw(spark, folder))))
 
 
+def _by_id(spark: SparkSession, folder: str) -> Layers:
+    layers = _layers(spark)
+    store_by_id(layers, _raw(spark, folder), hot_rows=100_000)
+    return layers
+
+
+def dedup_first_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """First copies over a raw layer that is stored by trip id."""
+    return _comparable(stored_firsts(_by_id(spark, folder)))
+
+
+def duplicate_log_stored(spark: SparkSession, folder: str) -> DataFrame:
+    return _unpacked(stored_duplicates(_by_id(spark, folder)))
+
+
 def enrich_zone_query(spark: SparkSession, folder: str) -> DataFrame:
     return enrich_zone(_raw(spark, folder)).select("trip_id", "pickup_zone", "zone_name", "zone_id")
 
@@ -366,6 +382,8 @@ QUERIES: dict[str, Query] = {
     "expect_drop_null": expect_drop_null,
     "expect_warn": expect_warn,
     "dedup_first": dedup_first,
+    "dedup_first_stored": dedup_first_stored,
+    "duplicate_log_stored": duplicate_log_stored,
     "enrich_zone": enrich_zone_query,
     "silver_trips": silver_trips_query,
     "silver_trips_strict": silver_trips_strict,

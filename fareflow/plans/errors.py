@@ -69,11 +69,12 @@ def error_log(bronze: DataFrame, on_null: str = "keep") -> DataFrame:
 _TEXTS = ("pickup_datetime", "dropoff_datetime")
 
 
-def _instants() -> dict[str, Column]:
+def instants() -> dict[str, Column]:
+    """Trip times beside their text."""
     return {f"_{name}": parse_trip_time(F.col(name)) for name in _TEXTS}
 
 
-def _first_order(rows: DataFrame) -> list[str]:
+def batch_firsts_order(rows: DataFrame) -> list[str]:
     """The order that the cleaned layer uses: times count as instants; their text only breaks ties."""
     return [f"_{name[1:-1]}" if name[1:-1] in _TEXTS else name for name in copy_order(rows)] + list(_TEXTS)
 
@@ -81,12 +82,12 @@ def _first_order(rows: DataFrame) -> list[str]:
 def batch_firsts(bronze: DataFrame) -> DataFrame:
     """The first copy of each id, as typed rows with trip times both as text and, beside it, as instants."""
     rows = sanitize_numeric(bronze.drop(MALFORMED))
-    return first_copies(rows.withColumns(_instants()), order=_first_order(rows))
+    return first_copies(rows.withColumns(instants()), order=batch_firsts_order(rows))
 
 
 def prepared_firsts(firsts: DataFrame) -> DataFrame:
     """The same rows as ``prepare`` gives them."""
-    return firsts.withColumns({name: F.col(f"_{name}") for name in _TEXTS}).drop(*_instants())
+    return firsts.withColumns({name: F.col(f"_{name}") for name in _TEXTS}).drop(*instants())
 
 
 def duplicate_log(bronze: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -96,14 +97,19 @@ def duplicate_log(bronze: DataFrame, known: DataFrame | None = None) -> DataFram
     copies too.
     """
     rows = sanitize_numeric(bronze.drop(MALFORMED))
-    copies = later_copies(rows, order=_first_order(rows), computed=_instants())
+    copies = later_copies(rows, order=batch_firsts_order(rows), computed=instants())
     if known is not None:
         copies = copies.unionByName(known.select(*map(quoted, rows.columns)))
+    return duplicate_rows(copies)
+
+
+def duplicate_rows(copies: DataFrame) -> DataFrame:
+    """Typed rows that are later copies, as entries of the log."""
     return copies.withColumns(
         {
             "error_reason": F.lit("Duplicate trip_id"),
             "error_category": F.lit("DUPLICATE"),
-            "row_data": _snapshot(rows),
+            "row_data": _snapshot(copies),
             "error_timestamp": local_now(),
         }
     )

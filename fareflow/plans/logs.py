@@ -20,7 +20,8 @@ def _counts(silver: DataFrame, errors: DataFrame, duplicates: DataFrame) -> Data
     frames = zip(_COUNTS, (silver, errors, duplicates))
     counted = [frame.agg(F.count(F.lit(1)).alias(name)) for name, frame in frames]
     stacked = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), counted)
-    return stacked.agg(*[F.sum(name).alias(name) for name in _COUNTS])
+    # A count from footers gives no row where there is no file.
+    return stacked.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _COUNTS])
 
 
 def pipeline_log(

@@ -193,6 +193,13 @@ _BRONZE_LEDGER = (
 FROM kinds GROUP BY ALL"""
 )
 
+_DEDUP_FIRST = (
+    _with("ranked")
+    + """SELECT trip_id, driver_id, passenger_count, picked_up AS pickup_datetime, dropped_off AS dropoff_datetime,
+    pickup_zone, dropoff_zone, trip_distance, fare_amount, tip_amount, total_amount, ingestion_timestamp
+FROM ranked WHERE copy = 1"""
+)
+
 ORACLES: dict[str, str] = {
     "bronze_ingest": _BRONZE_INGEST,
     "sanitize_numeric": _with("clean") + "SELECT * FROM clean",
@@ -208,10 +215,9 @@ FROM measured""",
     + """SELECT count(*) AS row_count, count(*) FILTER (speed > 120) AS valid_speed_violations,
     count(*) FILTER (trip_duration > 180) AS valid_duration_violations
 FROM ranked WHERE copy = 1""",
-    "dedup_first": _with("ranked")
-    + """SELECT trip_id, driver_id, passenger_count, picked_up AS pickup_datetime, dropped_off AS dropoff_datetime,
-    pickup_zone, dropoff_zone, trip_distance, fare_amount, tip_amount, total_amount, ingestion_timestamp
-FROM ranked WHERE copy = 1""",
+    "dedup_first": _DEDUP_FIRST,
+    "dedup_first_stored": _DEDUP_FIRST,
+    "duplicate_log_stored": _DUPLICATE_LOG,
     "enrich_zone": _with("raw", _ZONES)
     + """SELECT trip_id, pickup_zone, zone_name, zone_id
 FROM raw LEFT JOIN zones ON pickup_zone = zone_name""",

@@ -26,6 +26,7 @@ class TableSpec:
 
 TABLES = {
     "bronze_trips": TableSpec("bronze", S.BRONZE, "Raw trips with arrival time and source file", "bronze"),
+    "bronze_by_id": TableSpec("bronze", S.BRONZE, "Raw trips in buckets by trip id", "bronze"),
     "bronze_rescued": TableSpec(
         "bronze", S.RESCUED, "Raw trips read by the header of their file, with what fits no column", "bronze", True
     ),
@@ -90,11 +91,15 @@ class Layers:
         """Checkpoint of the stage that fills a table; it lives and dies with the table."""
         return f"{self.root}/checkpoints/{stage}"
 
+    def database(self, table: str) -> None:
+        """Create the database of a table if it is missing."""
+        layer = TABLES[table].layer
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}_{layer} LOCATION '{self.root}/{layer}'")
+
     def create(self, table: str, columns: T.StructType | None = None) -> str:
         """Create the table if it is missing; ``columns`` replaces the usual ones, e.g. to pass more on."""
         spec = TABLES[table]
-        database = f"{self.prefix}_{spec.layer}"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/{spec.layer}'")
+        self.database(table)
         wanted = columns or spec.schema
         ddl = ", ".join(f"{quoted(f.name)} {_ddl(f.dataType)}" for f in wanted)
         if spec.by_batch:
