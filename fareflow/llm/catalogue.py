@@ -177,7 +177,7 @@ ORACLES: dict[str, str] = {
     """,
     "op13_line_dedup": r"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-        lines AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM docs),
+        lines AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs),
         keyed AS (
             SELECT *, translate(trim(line, E' \t\n\x0B\f\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
             FROM lines
@@ -186,11 +186,11 @@ ORACLES: dict[str, str] = {
             SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3
         ),
         marked AS (
-            SELECT r, keyed.doc_id, line, at, shared.key IS NOT NULL AND keyed.doc_id IS DISTINCT FROM top AS dropped
+            SELECT r, keyed.doc_id, line, place, (shared.key IS NOT NULL AND keyed.doc_id IS DISTINCT FROM top) AS dropped
             FROM keyed LEFT JOIN shared ON keyed.key = shared.key
         )
         SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT dropped), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY r
     """,
 }
