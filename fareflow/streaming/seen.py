@@ -17,7 +17,7 @@ from ..schema import KEY
 from ..sources import Layers
 from ..sources.layers import drop_partitions
 
-BUCKETS = 64
+BUCKETS = 16
 # Ids that are listed in the filter of a scan.
 LISTED = 200
 
