@@ -27,8 +27,11 @@ def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without labels of both kinds nothing can be learnt, and all documents stay."""
     docs = row_keys(docs)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    if not model.fitted:
+        return docs.drop(*ROW)
     return _without(docs, toxicity.score_texts(docs, model).filter("score >= 0.5"))
 
 
@@ -67,11 +70,18 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Columns of the caller's own whose names the stages use themselves get others meanwhile."""
+    others = {name: f"own_{place}_{name}" for place, name in enumerate(docs.columns) if name.startswith("__")}
+    return docs.withColumnsRenamed(others), {other: name for name, other in others.items()}
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage gives is stored before the next one reads it."""
     docs, folder = table(spark, sf_dir, "documents"), shared_folder(spark)
     for place, (_, stage) in enumerate(STAGES):
         path = f"{folder}/stage-{place}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        docs, names = _aside(docs)
+        stage(spark, docs, sf_dir).withColumnsRenamed(names).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
