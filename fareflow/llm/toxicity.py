@@ -93,9 +93,17 @@ class Model:
     weights: np.ndarray
     intercept: float
 
-    def score(self, texts: list[str | None]) -> list[float]:
+    #: Both kinds of labels were there to learn from.
+    fitted: bool = True
+
+    def weights_of_all(self) -> np.ndarray:
+        """One weight for each possible feature; made once for all texts of a task."""
         full = np.zeros(1 << FEATURE_BITS, np.float32)
         full[self.chosen] = self.weights
+        return full
+
+    def score(self, texts: list[str | None], full: np.ndarray | None = None) -> list[float]:
+        full = self.weights_of_all() if full is None else full
         return [float(_logistic(self.intercept + full[features(text)].sum(dtype=np.float64))) for text in texts]
 
 
@@ -112,9 +120,9 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, tr
     known = labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(id_col).agg(F.max("toxic").alias("label"))
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(train_rows)
-    texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    # At most ``train_rows`` ids.
-    return texts.join(F.broadcast(chosen), id_col).select("text", "label")
+    texts = docs.select(F.col(id_col), F.coalesce(text_col, F.lit("")).alias("text"))
+    # At most ``train_rows`` ids; of an id with several texts the first one in their order stays, so the bound holds for texts.
+    return texts.join(F.broadcast(chosen), id_col).groupBy(id_col).agg(F.min("text").alias("text"), F.min("label").alias("label"))
 
 
 def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -150,7 +158,7 @@ def fit(
     rows = _labelled(docs, labels, id_col, text_col, train_rows)
     clean, toxic, n_clean, n_toxic = _counts(rows)
     if not n_clean or not n_toxic:
-        return Model(np.empty(0, np.int64), np.empty(0), 500.0 if n_toxic else -500.0)
+        return Model(np.empty(0, np.int64), np.empty(0), 500.0 if n_toxic else -500.0, fitted=False)
     chosen = _choose(clean, toxic, n_clean, n_toxic)
 
     def reduce(slices: Iterator[dict]) -> Iterator[dict]:
@@ -205,8 +213,9 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(slices: Iterator[dict]) -> Iterator[dict]:
+        full = model.value.weights_of_all()
         for part in slices:
-            yield {"__file": part["__file"], "__row": part["__row"], id_col: part["id"], "score": model.value.score(part["text"])}
+            yield {"__file": part["__file"], "__row": part["__row"], id_col: part["id"], "score": model.value.score(part["text"], full)}
 
     docs = row_keys(docs).select("__file", "__row", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()

@@ -55,3 +55,22 @@ def test_no_labels_odd_rows_and_clashing_columns(spark):
     scores = [r.score for r in toxicity.score_texts(docs, model).collect()]
     assert len(scores) == 3 and np.allclose(scores, 0.0)
     assert toxicity.score_texts(docs.limit(0), model).count() == 0
+
+
+def test_one_id_in_many_rows_is_one_text_to_learn_from(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(i, "vileword") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)] * 3, "doc_id long, toxic int")
+    learnt = toxicity._labelled(docs, labels, "doc_id", "text", 20).collect()
+    assert len(learnt) == 20
+
+
+def test_labels_of_one_kind_are_no_ground_to_reject(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert not toxicity.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet")).fitted
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == 20
