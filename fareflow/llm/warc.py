@@ -88,7 +88,8 @@ def record_types(chunks: DataFrame, min_bytes: int = 0, id_col: str = "page_id")
     whole = checkpointed(whole)
     same = ["digest", "bytes"]
     groups = whole.filter(F.col("bytes") >= min_bytes).groupBy(*same).agg(F.max(F.struct(id_col, *ROW)).alias("response"))
-    rows = whole.join(groups, same, "left")
+    # Kept apart from the join, so that the join may split a payload that very many pages share.
+    rows = whole.join(checkpointed(groups), same, "left")
     own = (F.col("response.__file") == F.col("__file")) & (F.col("response.__row") == F.col("__row"))
     return rows.select(*ROW, *same, F.when(~own, F.col("response")).alias("refers_row"))
 
