@@ -5,8 +5,9 @@ blocks different ones: blocks are dealt by their content, sorted, and numbered i
 names are named in the same way, level by level, until each text has one name. Two texts are equal if and
 only if they have the same number of blocks and the same name; no hash decides about it.
 
-Only blocks that differ within one slice of rows travel to be named, each with a ticket, and tickets bring the names
-back. So a block that a third of all texts share is named once per slice, and never gathered in one task.
+Only blocks that a partition has not sent before travel to be named, each with a ticket, and tickets bring the names
+back. A partition remembers the blocks that it met last, within ``KEPT_BYTES``; so a block that a third of all texts share
+is sent about once by each partition, and never gathered in one task.
 
 Rows keep their place in their table as identity, so ids may be missing or repeat. A missing text counts
 as empty, and all empty texts are equal. Of equal texts the row of the largest id stays (a missing id is below all
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, map_rows, row_keys
 
 BLOCK_BYTES = 8192
+KEPT_BYTES = 16 << 20
 ROW = ["__file", "__row"]
 
 
@@ -33,19 +35,24 @@ def _cut(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Rows of two kinds: a ticket with the content of a block, and the places that hold this ticket."""
 
     def rows(slices: Iterator[dict]) -> Iterator[dict]:
+        # From the block met longest ago to the latest one.
+        seen: dict[bytes, tuple[int, int, int]] = {}
+        held = 0
         for part in slices:
             out: dict[str, list] = {name: [] for name in ("ticket_file", "ticket_row", "ticket_at", "content", "__file", "__row", "at", "id", "sha", "blocks")}
-            seen: dict[bytes, tuple[int, int, int]] = {}
             for file, row, name, text in zip(part["__file"], part["__row"], part["id"], part["text"], strict=True):
                 data = (text or "").encode()
                 cuts = range(0, len(data), block_bytes) or (0,)
                 for at, begin in enumerate(cuts):
                     block = data[begin : begin + block_bytes]
-                    ticket = seen.get(block)
-                    content = None
+                    ticket, content = seen.pop(block, None), None
                     if ticket is None:
-                        ticket = seen[block] = file, row, at
-                        content = block
+                        ticket, content = (file, row, at), block
+                        held += len(block) + 300
+                    seen[block] = ticket
+                    while held > KEPT_BYTES:
+                        held -= len(oldest := next(iter(seen))) + 300
+                        del seen[oldest]
                     first = at == 0
                     for column, value in zip(out, (*ticket, content, file, row, at, name if first else None, hashlib.sha256(data).digest() if first else None, len(cuts)), strict=True):
                         out[column].append(value)

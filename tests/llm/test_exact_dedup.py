@@ -27,6 +27,25 @@ def test_small_blocks_over_many_levels(spark):
         assert r.text_sha256 == sha256(texts[r.doc_id] or "")
 
 
+def test_blocks_are_forgotten_and_met_again(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "KEPT_BYTES", 2000)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(("aaaa", "bbbb", "cccc", "dddd", f"{rng.randrange(99):04d}")) for _ in range(5)) for _ in range(900)]
+    texts += texts[:300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    groups = defaultdict(list)
+    for i, text in enumerate(texts):
+        groups[text].append(i)
+    for r in exact_dedup.exact_duplicates(docs, block_bytes=4).collect():
+        assert (r.keep_id, r.group_size) == (max(groups[texts[r.doc_id]]), len(groups[texts[r.doc_id]]))
+
+
+def test_a_hot_block_is_sent_once_by_a_partition(spark):
+    docs = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.repeat(F.lit("copy "), 1000)).otherwise(F.col("id").cast("string")).alias("text"))
+    cut = exact_dedup._cut(exact_dedup.row_keys(docs.coalesce(2)).select("id", "text", *exact_dedup.ROW), 8192)
+    assert cut.filter("length(content) = 5000").count() <= 2
+
+
 def test_one_text_in_a_third_of_all_rows(spark, tmp_path):
     path = str(tmp_path / "docs")
     text = F.when(F.col("id") % 3 == 0, F.repeat(F.lit("copy "), 5000)).otherwise(F.col("id").cast("string"))
