@@ -35,6 +35,7 @@ from .components import components
 
 ROW = ["__file", "__row"]
 SLOT_BITS = 22
+_SID = (1 << 50) - 1
 # Hashed words that a worker keeps.
 CACHED = 250_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -90,7 +91,7 @@ def _counts(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per row: its place, id, ``n`` tokens, ``digest`` of the set, and its prefixes under three orders."""
+    """Per row: its place, id, ``n`` tokens, ``digest`` of the set, and its prefix in the order of rarity."""
     context = docs.sparkSession.sparkContext
     # One byte for each slot: how frequent its tokens are, in steps of an eighth of a doubling.
     levels = context.broadcast(np.minimum(255, 8 * np.log2(_counts(docs, n) + 1.0)).astype(np.uint8))
@@ -98,7 +99,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def rows(slices: Iterator[dict]) -> Iterator[dict]:
         level = levels.value
         for part in slices:
-            out: dict[str, list] = {name: [] for name in ("n", "digest", "rare", "second", "third")}
+            out: dict[str, list] = {name: [] for name in ("n", "digest", "rare")}
             for text in part["text"]:
                 tokens = shingles(text, n)
                 size = prefix_size(len(tokens), percent) if len(tokens) else 0
@@ -106,15 +107,30 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 out["n"].append(len(tokens))
                 out["digest"].append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
                 out["rare"].append(tokens[order].view(np.int64))
+            yield {"__file": part["__file"], "__row": part["__row"], "id": part["id"]} | out
+
+    kind = docs.schema["id"].dataType.simpleString()
+    schema = f"__file long, __row long, id {kind}, n long, digest binary, rare array<long>"
+    return dense(checkpointed(map_rows(docs, schema, rows, _forget).withColumn("sid", F.monotonically_increasing_id())), "sid")
+
+
+def _other_orders(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Per ``sid``: the number of tokens, and the prefixes under two arbitrary orders."""
+
+    def rows(slices: Iterator[dict]) -> Iterator[dict]:
+        for part in slices:
+            out: dict[str, list] = {"sid": part["sid"], "n": [], "second": [], "third": []}
+            for text in part["text"]:
+                tokens = shingles(text, n)
+                size = prefix_size(len(tokens), percent)
+                out["n"].append(len(tokens))
                 with np.errstate(over="ignore"):
                     for name, factor in zip(("second", "third"), _ORDERS, strict=True):
                         mixed = np.sort(tokens * factor)[:size]
                         out[name].append((mixed >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield {"__file": part["__file"], "__row": part["__row"], "id": part["id"]} | out
+            yield out
 
-    kind = docs.schema["id"].dataType.simpleString()
-    schema = f"__file long, __row long, id {kind}, n long, digest binary, rare array<long>, second array<int>, third array<int>"
-    return dense(checkpointed(map_rows(docs, schema, rows, _forget).withColumn("sid", F.monotonically_increasing_id())), "sid")
+    return map_rows(texts.select("sid", "text"), "sid long, n long, second array<int>, third array<int>", rows, _forget)
 
 
 def _enough(n1: Column, n2: Column, common: Column, percent: int) -> Column:
@@ -126,9 +142,15 @@ def _nodes(pairs: DataFrame) -> DataFrame:
     return checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
 
 
-def _filtered(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+def _texts(pairs: DataFrame, signed: DataFrame, base: DataFrame) -> DataFrame:
+    """The texts that are in a pair, by ``sid``. Others are read but not shuffled."""
+    places = checkpointed(restrict(signed.select(*ROW, "sid"), _nodes(pairs), ["sid"], keep=True))
+    return restrict(base.select(*ROW, "text"), places, ROW, keep=True)
+
+
+def _filtered(pairs: DataFrame, signed: DataFrame, base: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs whose sizes are near enough and which share prefix tokens under the other orders too."""
-    signs = restrict(signed.select("sid", "n", "second", "third"), _nodes(pairs), ["sid"], keep=True)
+    signs = checkpointed(_other_orders(_texts(pairs, signed, base), n, percent))
     sides = []
     for side in ("a", "b"):
         sides.append(signs.select(F.col("sid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "second", "third")]))
@@ -141,10 +163,9 @@ def _filtered(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, signed: DataFrame, base: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs that are similar enough, by their whole sets. Only texts that are in a pair are read to be shuffled."""
+    """Pairs that are similar enough, by their whole sets."""
     pairs = checkpointed(pairs)
-    places = checkpointed(restrict(signed.select(*ROW, "sid"), _nodes(pairs), ["sid"], keep=True))
-    texts = restrict(base.select(*ROW, "text"), places, ROW, keep=True)
+    texts = _texts(pairs, signed, base)
     first = texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
 
@@ -175,12 +196,17 @@ def _first_look(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
     # Rows that repeat an earlier set need no postings of their own.
     again = full.select("sid", "digest").join(classes.filter("rows > 1").select("digest", "rep"), "digest").filter("sid > rep").select("sid")
     reps = restrict(full, checkpointed(again), ["sid"], keep=False)
-    postings = reps.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
     # Place and row in one number: the least one leads. Places beyond 13 bits count as equal.
-    packed = F.shiftleft(F.least("pos", F.lit(8191)).cast("long"), 50).bitwiseOR(F.col("sid"))
-    led = postings.groupBy("token").agg(F.min(packed).alias("least"), F.max(packed).alias("most")).filter("least < most")
-    led = checkpointed(led.select("token", F.col("least").bitwiseAND(F.lit((1 << 50) - 1)).alias("lead")))
-    return signed, classes, checkpointed(restrict(postings, led, ["token"], keep=True))
+    packed = F.shiftleft(F.least("pos", F.lit(8191)).cast("long"), 50).bitwiseOR(F.col("sid")).alias("packed")
+    postings = reps.select("sid", "n", F.posexplode("rare").alias("pos", "token")).select("token", "n", packed)
+    # Postings go to their tokens once: both the leaders and the members read that shuffle. It is the same one for both only
+    # if both ask for the same columns, which is why the sum is there.
+    postings = postings.repartition("token")
+    led = postings.groupBy("token").agg(F.min("packed").alias("least"), F.max("packed").alias("most"), F.sum("n").alias("sizes"))
+    led = led.filter("least < most AND sizes > 0").select("token", F.col("least").bitwiseAND(_SID).alias("lead"))
+    pos, sid = F.shiftright("packed", 50).cast("int"), F.col("packed").bitwiseAND(_SID)
+    meeting = postings.join(led, "token").select("token", sid.alias("sid"), "n", pos.alias("pos"), "lead")
+    return signed, classes, checkpointed(meeting)
 
 
 def near_duplicates(
@@ -199,7 +225,7 @@ def near_duplicates(
     room = lambda n1, p1, n2, p2: _enough(F.col(n1), F.col(n2), F.least(F.col(n1) - F.col(p1), F.col(n2) - F.col(p2)), percent)
     pairs = meeting.filter("sid <> lead").join(lead, "token").filter(room("n", "pos", "lead_n", "lead_pos"))
     pairs = checkpointed(pairs.select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct())
-    links = _verified(_filtered(pairs, signed, percent), signed, base, n, percent)
+    links = _verified(_filtered(pairs, signed, base, n, percent), signed, base, n, percent)
 
     # What the leaders did not join: members of different components that meet at a token.
     labels = checkpointed(components(links))
@@ -218,7 +244,7 @@ def near_duplicates(
     later = met.select(F.least("sid1", "sid2").alias("a"), F.greatest("sid1", "sid2").alias("b")).distinct()
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     later = checkpointed(later.join(done, ["a", "b"], "left_anti"))
-    links = links.union(_verified(_filtered(later, signed, percent), signed, base, n, percent))
+    links = links.union(_verified(_filtered(later, signed, base, n, percent), signed, base, n, percent))
     labels = components(links)
 
     # From rows to classes, from classes to components, and back.
