@@ -292,10 +292,12 @@ def _mixed_landing(spark: SparkSession, folder: str, landing: str) -> None:
     fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in RAW.names]
     cut = F.coalesce(F.col("pickup_zone") == "Bronx", F.lit(False))
     line = F.when(cut, F.concat_ws(",", *fields[:4])).otherwise(F.concat_ws(",", *fields, F.lit("surplus")))
-    head = spark.range(1).select(F.lit(0).alias("at"), F.lit(",".join(RAW.names)).alias("value"))
-    # One file, as its header has to come first.
-    lines = head.union(broken.select(F.lit(1), line)).repartition(1).sortWithinPartitions("at")
-    lines.select("value").write.mode("append").text(landing)
+    # Each file begins with the header: it goes before the first line of its part, and each part is one file.
+    begins = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = broken.select(line.alias("line")).withColumn("begins", begins)
+    header = F.lit(",".join(RAW.names) + "\n")
+    lines = lines.select(F.when(F.col("begins"), F.concat(header, "line")).otherwise(F.col("line")).alias("value"))
+    lines.write.mode("append").option("maxRecordsPerFile", 0).text(landing)
 
 
 def _rescued(spark: SparkSession, folder: str) -> DataFrame:
