@@ -15,6 +15,7 @@ from ..functions import revenue_fields, sanitize_numeric, trip_metrics, trip_tim
 from ..operators import count_violations, enrich_zone, expect_or_drop, first_copies, stream_first_copies
 from ..schema import MALFORMED, RAW, SANITIZED
 from ..session import shared_folder, use_utc
+from ..sources.layers import COMPRESSION
 from ..sources import Layers, csv_schema, file_ledger, raw_trips, stream_table, stream_trips
 from ..streaming import (
     bronze_stage,
@@ -212,7 +213,7 @@ def _in_runs(spark: SparkSession, folder: str, runs: list[Column], *after: Calla
     rows = _lineitem(spark, folder)
     landing = f"{layers.root}/landing"
     for part in runs:
-        rows.filter(part).write.mode("append").parquet(f"{landing}/lineitem.parquet")
+        rows.filter(part).write.mode("append").option("compression", COMPRESSION).parquet(f"{landing}/lineitem.parquet")
         finish(bronze_stage(layers, raw_trips(stream_table(spark, landing, "lineitem", rows.schema))))
         finish(silver_stage(layers))
         for step in after:
@@ -335,9 +336,8 @@ def progress_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_gold_complete(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips per hour kept in the state store, over two micro-batches."""
-    layers = _streamed(spark, folder)
-    finish(gold_stage(layers, "gold_peak_hours", maxFilesPerTrigger=1))
+    """Trips per hour kept in the state store, over two micro-batches: one after each run."""
+    layers = _streamed(spark, folder, lambda layers: finish(gold_stage(layers, "gold_peak_hours")))
     return _rounded(layers.read("gold_peak_hours"))
 
 

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from .. import schema as S
 
 
+# Of the files of all tables; a third smaller than Spark's usual one.
+COMPRESSION = "zstd"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     layer: str
@@ -105,8 +109,8 @@ class Layers:
         if spec.by_batch:
             ddl += ", batch_id bigint"
         parts = [f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet"]
-        if spec.options:
-            parts.append("OPTIONS (" + ", ".join(f"'{name}' = '{value}'" for name, value in spec.options) + ")")
+        options = (("compression", COMPRESSION), *spec.options)
+        parts.append("OPTIONS (" + ", ".join(f"'{name}' = '{value}'" for name, value in options) + ")")
         if partitions := [*spec.parts, *["batch_id"] * spec.by_batch]:
             parts.append(f"PARTITIONED BY ({', '.join(partitions)})")
         parts.append(f"COMMENT '{spec.comment}'")

@@ -1,11 +1,11 @@
 """Cleaned layer as a stream that takes in each trip id once, ever, and always its first copy.
 
 Ids taken in so far are kept in a table rather than in the state store: an index in buckets, of which a batch opens those
-that can hold its ids. Each batch makes one decision, and stores what it rests on before anything else: the first copy in
-the batch of each id. Ids that the index lacks are new and are stored; the first copies of these become cleaned
-rows, and every other row with an id goes to the duplicate log. So the two never disagree, however a stream is
-paced, and no batch goes through earlier rows again. All tables of a batch come from the stored first copies and cleaned
-rows. How many rows broke each rule is counted while the cleaned rows are written, and so is the size of each write.
+that can hold its ids. Each batch makes one decision, and stores it before anything else: its rows, shuffled to their ids
+once, with their rank among the copies of the batch and whether the index has the id. First copies of ids that the index
+lacks become cleaned rows, and their ids are stored; every other row with an id goes to the duplicate log. So the two never
+disagree, however a stream is paced, and no batch goes through earlier rows again. All tables of a batch come from the
+stored rows. How many rows broke each rule is counted while the cleaned rows are written, and so is the size of each write.
 
 Each write replaces the partition of its own batch, and ids of the running batch are not looked at, so a batch
 that runs again after a crash gives the same rows, sums and counts.
@@ -25,12 +25,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import checked_lookup, expect_or_drop, observe_rules
 from ..plans import gold
-from ..plans.errors import batch_firsts, duplicate_log, prepared_firsts
+from ..plans.errors import duplicate_log, duplicate_rows, instants, prepared_firsts
 from ..plans.silver import derive, prepare
 from ..schema import KEY, QUALITY_LOG, RULES
 from ..sources import Layers, without_metadata
 from ..sources.layers import drop_partitions, quoted
-from .seen import bucket_of, earlier_ids, in_buckets, touched_buckets
+from .ranked import HOT_ROWS, is_hot, slot_sizes, split_ranked, store_ranked
+from .seen import bucket_of, earlier_ids, in_buckets
 
 
 def _store_batch(rows: DataFrame, table: str, batch_id: int) -> int:
@@ -100,20 +101,15 @@ def silver_stage(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        buckets = Observation()
-        firsts = batch_firsts(batch).withColumn("bucket", bucket_of(KEY)).observe(buckets, *touched_buckets())
-        without_metadata(firsts).write.mode("overwrite").parquet(staging)
-        firsts = session.read.schema(firsts.schema).parquet(staging)
-        ids = firsts.select(KEY, "bucket")
-        seen = earlier_ids(session.table(seen_ids), ids, buckets.get, batch_id)
-        _store_batch(in_buckets(ids if seen is None else ids.join(seen, KEY, "left_anti")), seen_ids, batch_id)
-        # The ids of this batch only: what meets them below never grows with history.
-        new = session.table(seen_ids).filter(F.col("batch_id") == batch_id).select(KEY)
-        known = None if seen is None else firsts.join(new, KEY, "left_anti")
-        _store_batch(duplicate_log(batch, known), duplicates, batch_id)
-
-        winners = firsts if seen is None else firsts.join(new, KEY, "left_semi")
-        derived = derive(prepared_firsts(winners.drop("bucket")), lookup)
+        sizes = slot_sizes(batch)
+        seen = earlier_ids(session.table(seen_ids), batch, sizes, batch_id)
+        ranked = store_ranked(batch, seen, sizes, staging, HOT_ROWS)
+        new, copies = split_ranked(ranked, is_hot(sizes, HOT_ROWS))
+        ids = new.select(KEY).withColumn("bucket", bucket_of(KEY))
+        _store_batch(in_buckets(ids), seen_ids, batch_id)
+        _store_batch(duplicate_rows(copies), duplicates, batch_id)
+
+        derived = derive(prepared_firsts(new.withColumns(instants())), lookup)
         counted = _store_cleaned(derived, rules, on_null, silver, batch_id)
         entry = session.range(0, 1, 1, 1).select(*[F.lit(counted[name]).cast("long").alias(name) for name in QUALITY_LOG.names])
         _store_batch(entry, quality, batch_id)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans import errors, gold
 from ..plans.logs import stored_log
 from ..sources import Layers, stream_lines, with_rescued, without_metadata
-from ..sources.layers import replace_rows
+from ..sources.layers import COMPRESSION, replace_rows
 from .exact import _store_batch, silver_stage
 from .progress import follow
 
@@ -37,6 +37,7 @@ def append_stage(rows: DataFrame, layers: Layers, table: str) -> StreamingQuery:
         without_metadata(rows)
         .writeStream.outputMode("append")
         .option("checkpointLocation", layers.checkpoint(table))
+        .option("compression", COMPRESSION)
         .trigger(availableNow=True)
         .toTable(name)
     )
