@@ -23,6 +23,8 @@ SLICE_ROWS = 256
 BATCH_BYTES = 4 << 20
 # Partial counts that one task adds up.
 FAN_IN = 16
+# Counts that are copied at once.
+COUNTS_AT_ONCE = 1 << 16
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -98,7 +100,10 @@ def tree_sum(
     """
 
     def packed(counts: np.ndarray) -> dict[str, list]:
-        return {"counts": [zlib.compress(np.minimum(counts, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)]}
+        # Bit by bit: whole copies would take several times the memory of the counts.
+        pack, flat = zlib.compressobj(1), counts.reshape(-1)
+        pieces = [pack.compress(flat[at : at + COUNTS_AT_ONCE].tobytes()) for at in range(0, flat.size, COUNTS_AT_ONCE)]
+        return {"counts": [b"".join(pieces) + pack.flush()]}
 
     def unpacked(data: bytes) -> np.ndarray:
         return np.frombuffer(zlib.decompress(data), np.uint32).reshape(shape)
@@ -113,7 +118,13 @@ def tree_sum(
         total = None
         for part in slices:
             for data in part["counts"]:
-                total = unpacked(data).astype(np.uint64) if total is None else total + unpacked(data)
+                if total is None:
+                    total = unpacked(data).copy()
+                    continue
+                flat, more = total.reshape(-1), unpacked(data).reshape(-1)
+                for at in range(0, flat.size, COUNTS_AT_ONCE):
+                    step = slice(at, at + COUNTS_AT_ONCE)
+                    flat[step] = np.minimum(flat[step].astype(np.uint64) + more[step], 0xFFFFFFFF)
         if total is not None:
             yield packed(total)
 

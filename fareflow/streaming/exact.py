@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import checked_lookup, expect_or_drop, observe_rules
 from ..plans import gold
-from ..plans.errors import duplicate_log, duplicate_rows, instants, prepared_firsts
+from ..plans.errors import duplicate_log, duplicate_rows, prepared_firsts
 from ..plans.silver import derive, prepare
 from ..schema import KEY, QUALITY_LOG, RULES
 from ..sources import Layers, without_metadata
@@ -109,7 +109,7 @@ def silver_stage(
         _store_batch(in_buckets(ids), seen_ids, batch_id)
         _store_batch(duplicate_rows(copies), duplicates, batch_id)
 
-        derived = derive(prepared_firsts(new.withColumns(instants())), lookup)
+        derived = derive(prepared_firsts(new), lookup)
         counted = _store_cleaned(derived, rules, on_null, silver, batch_id)
         entry = session.range(0, 1, 1, 1).select(*[F.lit(counted[name]).cast("long").alias(name) for name in QUALITY_LOG.names])
         _store_batch(entry, quality, batch_id)

@@ -54,8 +54,8 @@ def store_ranked(batch: DataFrame, seen: DataFrame | None, sizes: dict[int, int]
     # A slice that is the same for all rows would keep Spark from seeing that rows and ids taken in lie together.
     place = [KEY] if slots is None else [KEY, "_slice"]
     rank = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
-    # Times are parsed where the copies are ranked; they need not travel beside their text.
-    ranked = rows.repartition(*place).withColumns(instants()).withColumn("_later", rank > 1).drop(*instants())
+    # Times are parsed once, where the copies are ranked: they need not travel beside their text.
+    ranked = rows.repartition(*place).withColumns(instants()).withColumn("_later", rank > 1)
     if seen is None:
         ranked = ranked.withColumn("_earlier", F.lit(False))
     else:
@@ -66,23 +66,23 @@ def store_ranked(batch: DataFrame, seen: DataFrame | None, sizes: dict[int, int]
         seen = seen.select(*place).distinct().withColumn("_known", F.lit(True))
         ranked = ranked.join(seen, place, "left").withColumn("_earlier", F.col("_known").isNotNull()).drop("_known")
     # The join puts its key first; rows keep the order of their columns.
-    ranked = ranked.select(*[quoted(name) for name in rows.columns if name not in _OWN], *_OWN)
+    ranked = ranked.select(*[quoted(name) for name in rows.columns if name not in _OWN], *instants(), *_OWN)
     without_metadata(ranked).write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     stored = batch.sparkSession.read.schema(ranked.schema).parquet(path)
     return stored.withColumn("_hot", F.lit(False)) if slots is None else stored
 
 
 def split_ranked(stored: DataFrame, any_hot: bool) -> tuple[DataFrame, DataFrame]:
-    """From stored rows, those that are the first copy of a new id, and all others."""
+    """From stored rows, those that are the first copy of a new id, with their times, and all others."""
     new = ~F.col("_later") & ~F.col("_earlier")
     if not any_hot:
-        return stored.filter(new).drop(*_OWN), stored.filter(~new).drop(*_OWN)
-    order = batch_firsts_order(stored.drop(*_OWN))
+        return stored.filter(new).drop(*_OWN), stored.filter(~new).drop(*_OWN, *instants())
+    order = batch_firsts_order(stored.drop(*_OWN, *instants()))
     # A row for each slice of an id.
-    firsts = stored.filter("_hot AND NOT _later").withColumns(instants())
-    firsts = firsts.withColumn("_later", F.row_number().over(Window.partitionBy(KEY).orderBy(*order)) > 1).drop(*instants())
+    firsts = stored.filter("_hot AND NOT _later")
+    firsts = firsts.withColumn("_later", F.row_number().over(Window.partitionBy(KEY).orderBy(*order)) > 1)
     rows = stored.filter("NOT _hot OR _later").unionByName(firsts)
-    return rows.filter(new).drop(*_OWN), rows.filter(~new).drop(*_OWN)
+    return rows.filter(new).drop(*_OWN), rows.filter(~new).drop(*_OWN, *instants())
 
 
 def is_hot(sizes: dict[int, int], hot_rows: int = HOT_ROWS) -> bool:
