@@ -31,7 +31,7 @@ from ..schema import KEY, QUALITY_LOG, RULES
 from ..sources import Layers, without_metadata
 from ..sources.layers import drop_partitions, quoted
 from .ranked import HOT_ROWS, is_hot, slot_sizes, split_ranked, store_ranked
-from .seen import bucket_of, earlier_ids, in_buckets
+from .seen import bucket_of, in_buckets, index_part, measured_by_slots
 
 
 def _store_batch(rows: DataFrame, table: str, batch_id: int) -> int:
@@ -102,7 +102,8 @@ def silver_stage(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         sizes = slot_sizes(batch)
-        seen = earlier_ids(session.table(seen_ids), batch, sizes, batch_id)
+        asked = batch.select(KEY).filter(F.col(KEY).isNotNull()).distinct()
+        seen = index_part(session.table(seen_ids), asked, measured_by_slots(asked, sizes), batch_id) if batch_id else None
         ranked = store_ranked(batch, seen, sizes, staging, HOT_ROWS)
         new, copies = split_ranked(ranked, is_hot(sizes, HOT_ROWS))
         ids = new.select(KEY).withColumn("bucket", bucket_of(KEY))

@@ -8,7 +8,7 @@ read. ``compact`` puts the files of many batches together.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from ..schema import KEY
 from ..sources import Layers
 from ..sources.layers import drop_partitions
-from .ranked import SLOTS
 
-# A divisor of ``SLOTS``, so that the slot of an id tells its bucket.
+# A divisor of ``ranked.SLOTS``, so that the slot of an id tells its bucket.
 BUCKETS = 16
 # Ids that are listed in the filter of a scan.
 LISTED = 200
@@ -33,25 +32,43 @@ def in_buckets(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", KEY)
 
 
-def earlier_ids(seen: DataFrame, batch: DataFrame, slots: Collection[int], batch_id: int) -> DataFrame | None:
-    """Ids that batches before this one have taken in, of the buckets that its ids fall into; nothing if there were none.
+def touched_buckets() -> list[Column]:
+    """Measures of a batch: its buckets, of which there are ``BUCKETS`` at most, and how many ids it has."""
+    return [F.collect_set("bucket").alias("buckets"), F.count(F.lit(1)).alias("ids")]
 
-    ``slots`` are those of the ids of the batch, ``SLOTS`` at most.
+
+def measured_by_slots(ids: DataFrame, slots: Collection[int]) -> dict:
+    """The same measures from the slots of the ids, ``ranked.SLOTS`` at most; beyond ``LISTED``, ids are not counted to the end."""
+    # Ids are at least as many as their slots, so only a batch that may have few is asked for them.
+    number = ids.limit(LISTED + 1).count() if len(slots) <= LISTED else len(slots)
+    return {"buckets": sorted({slot % BUCKETS for slot in slots}), "ids": number}
+
+
+def index_part(seen: DataFrame, ids: DataFrame, measured: Mapping, batch_id: int) -> DataFrame | None:
+    """Ids that batches before this one have taken in, as far as they can be ids of the batch; nothing if there were none.
+
+    ``ids`` holds each id once.
     """
     if not batch_id:
         return None
-    buckets = sorted({slot % BUCKETS for slot in slots})
-    seen = seen.filter(F.col("batch_id") < batch_id).filter(F.col("bucket").isin(buckets))
-    # Ids are at least as many as their slots, so only a batch that may have few is asked for them.
-    if len(slots) <= LISTED:
-        listed = batch.select(KEY).filter(F.col(KEY).isNotNull()).distinct().limit(LISTED + 1).collect()
-        if len(listed) <= LISTED:
-            session = seen.sparkSession
-            session.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(LISTED))
-            seen = seen.filter(F.col(KEY).isin([row[0] for row in listed]))
+    seen = seen.filter(F.col("batch_id") < batch_id).filter(F.col("bucket").isin(sorted(measured["buckets"])))
+    if measured["ids"] <= LISTED:
+        session = seen.sparkSession
+        session.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(LISTED))
+        seen = seen.filter(F.col(KEY).isin([row[0] for row in ids.select(KEY).collect()]))
     return seen.select(KEY)
 
 
+def earlier_ids(seen: DataFrame, ids: DataFrame, measured: Mapping, batch_id: int) -> DataFrame | None:
+    """Ids of a batch that batches before it have taken in; nothing if there were none.
+
+    ``ids`` holds each id once. While Spark measures them as few enough, they go to where the index lies, which is
+    then read but not shuffled.
+    """
+    part = index_part(seen, ids, measured, batch_id)
+    return None if part is None else part.join(ids.select(KEY), KEY, "left_semi").select(KEY)
+
+
 def compact(layers: Layers) -> None:
     """Put the ids of all batches but the last into one file for each bucket.
 
