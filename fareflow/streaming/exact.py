@@ -34,6 +34,10 @@ from .ranked import HOT_ROWS, is_hot, slot_sizes, split_ranked, store_ranked
 from .seen import bucket_of, in_buckets, index_part, measured_by_slots
 
 
+# Files that a task writes at once: more than any table has parts in a batch.
+OPEN_FILES = 64
+
+
 def _store_batch(rows: DataFrame, table: str, batch_id: int) -> int:
     """Replace the partition of one batch; gives the number of its rows, which is counted by the write itself.
 
@@ -42,6 +46,8 @@ def _store_batch(rows: DataFrame, table: str, batch_id: int) -> int:
     session = rows.sparkSession
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     columns = session.table(table).columns
+    # A file is open for each part of the batch, so rows need not be sorted by part, and spilled, to be written.
+    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
     rows = without_metadata(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*map(quoted, columns)))
     written = Observation()
     rows.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=True)

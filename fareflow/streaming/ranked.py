@@ -6,6 +6,9 @@ each row is stored with the verdict, so that neither the cleaned rows nor the du
 An id with very many rows would make one task too large. Ids are counted by ``SLOTS`` slots of their hash, which takes
 a few bytes per slot and input split. The rows of a slot with more than ``HOT_ROWS`` are dealt to slices by their input
 split; they are ranked within each slice, and then the first copies of the slices are ranked among each other.
+
+The rows of a task are sorted to be ranked. The more rows a batch has, the more tasks there are, so that these rows stay
+in memory, however large the batch is.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from ..sources.layers import COMPRESSION, quoted
 
 SLOTS = 1 << 16
 HOT_ROWS = 1_000_000
+# Rows that a task ranks at once, about 300 bytes each; beyond it there are more tasks than the session's own number.
+TASK_ROWS = 250_000
 # Beside the columns of a row: the slice of its id, whether there are others, and what is known of it.
 _OWN = ("_slice", "_hot", "_later", "_earlier")
 
@@ -33,6 +38,12 @@ def slot_sizes(batch: DataFrame) -> dict[int, int]:
     return dict(batch.filter(F.col(KEY).isNotNull()).groupBy(slot.alias("slot")).agg(F.count(F.lit(1))).collect())
 
 
+def _tasks(batch: DataFrame, sizes: dict[int, int], task_rows: int) -> list[int]:
+    """How many tasks rank the batch, if the session's own number would give them too many rows."""
+    tasks = math.ceil(sum(sizes.values()) / task_rows)
+    return [tasks] if tasks > int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+
+
 def _sliced(rows: DataFrame, sizes: dict[int, int], hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
     """The rows with their slice, and the slots that have several slices."""
     hot = [(slot, math.ceil(n / hot_rows)) for slot, n in sorted(sizes.items()) if n > hot_rows]
@@ -46,8 +57,11 @@ def _sliced(rows: DataFrame, sizes: dict[int, int], hot_rows: int) -> tuple[Data
     return joined.withColumns(own).drop("_slot", "_split", "_slices"), slots
 
 
-def store_ranked(batch: DataFrame, seen: DataFrame | None, sizes: dict[int, int], path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def store_ranked(
+    batch: DataFrame, seen: DataFrame | None, sizes: dict[int, int], path: str, hot_rows: int = HOT_ROWS, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """Store the typed rows of a batch that have an id, with their verdicts; ``seen`` holds ids taken in before."""
+    tasks = _tasks(batch, sizes, task_rows)
     rows = sanitize_numeric(batch.drop(MALFORMED)).filter(F.col(KEY).isNotNull())
     order = batch_firsts_order(rows)
     rows, slots = _sliced(rows, sizes, hot_rows)
@@ -55,7 +69,7 @@ def store_ranked(batch: DataFrame, seen: DataFrame | None, sizes: dict[int, int]
     place = [KEY] if slots is None else [KEY, "_slice"]
     rank = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
     # Times are parsed once, where the copies are ranked: they need not travel beside their text.
-    ranked = rows.repartition(*place).withColumns(instants()).withColumn("_later", rank > 1)
+    ranked = rows.repartition(*tasks, *place).withColumns(instants()).withColumn("_later", rank > 1)
     if seen is None:
         ranked = ranked.withColumn("_earlier", F.lit(False))
     else:
@@ -63,7 +77,9 @@ def store_ranked(batch: DataFrame, seen: DataFrame | None, sizes: dict[int, int]
             seen = seen.withColumn("_slot", F.pmod(F.xxhash64(KEY), SLOTS).cast("int")).join(slots, "_slot", "left")
             seen = seen.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
         # An id may be in the index twice.
-        seen = seen.select(*place).distinct().withColumn("_known", F.lit(True))
+        seen = seen.select(*place)
+        # Ids go to the same tasks as the rows at once.
+        seen = (seen.repartition(*tasks, *place) if tasks else seen).distinct().withColumn("_known", F.lit(True))
         ranked = ranked.join(seen, place, "left").withColumn("_earlier", F.col("_known").isNotNull()).drop("_known")
     # The join puts its key first; rows keep the order of their columns.
     ranked = ranked.select(*[quoted(name) for name in rows.columns if name not in _OWN], *instants(), *_OWN)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fareflow.plans import catalogue
 from fareflow.schema import RAW, SANITIZED
 from fareflow.sources.layers import replace_rows
-from fareflow.streaming import ranked, stages
+from fareflow.streaming import exact, ranked, stages
 
 
 def lineitem(spark, path, rows=300, parts=3):
@@ -81,6 +81,40 @@ def test_rows_of_a_batch_are_shuffled_once(spark, tmp_path, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_ranking_takes_more_tasks_for_more_rows(spark, tmp_path, monkeypatch):
+    rows = _trips(spark, [f"T{i % 150}" for i in range(200)], 4, 0)
+    seen = spark.createDataFrame([(f"T{i}",) for i in range(30)], "trip_id string")
+    sizes, plans = ranked.slot_sizes(rows), []
+    monkeypatch.setattr(ranked, "without_metadata", lambda frame: plans.append(frame) or frame)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = ranked.store_ranked(rows, seen, sizes, str(tmp_path / "a"))
+        many = ranked.store_ranked(rows, seen, sizes, str(tmp_path / "b"), task_rows=10)
+        plan = plans[1]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # Session: 4 partitions.
+    assert len(few.inputFiles()) <= 4 and 10 < len(many.inputFiles()) <= 20
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    # One shuffle of the rows and one of the ids taken in, to as many tasks.
+    assert plan.count("REPARTITION_BY_NUM") == plan.count("Exchange") == 2
+
+
+def test_rows_of_a_batch_are_not_sorted_to_be_written(spark, layers):
+    session = spark.newSession()
+    hours, ids = layers.create("hour_sums"), layers.create("seen_ids")
+    for batch_id, first in ((0, 1), (1, 5), (1, 7)):
+        exact._store_batch(session.sql(f"SELECT {first} AS pickup_hour, 2L AS trips"), hours, batch_id)
+    rows = session.range(0, 100, 1, 2).select(F.col("id").cast("string").alias("trip_id"), (F.col("id") % 16).cast("int").alias("bucket"))
+    assert exact._store_batch(rows, ids, 0) == 100
+    for table, columns in ((hours, "pickup_hour, trips, batch_id"), (ids, "trip_id, bucket, batch_id")):
+        plan = session.sql(f"EXPLAIN INSERT OVERWRITE {table} SELECT {columns} FROM {table}").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+    assert sorted((r.batch_id, r.pickup_hour) for r in session.table(hours).collect()) == [(0, 1), (1, 7)]
+    assert session.table(ids).count() == 100 and session.table(ids).filter("bucket <> cast(trip_id AS int) % 16").isEmpty()
+
+
 def test_running_totals_take_in_one_batch_for_each_run(spark, tmp_path, monkeypatch):
     folder, batches = lineitem(spark, tmp_path / "in", parts=8), []
     monkeypatch.setattr(stages, "replace_rows", lambda rows, name, location: batches.append(name) or replace_rows(rows, name, location))
